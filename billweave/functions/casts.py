@@ -107,7 +107,7 @@ def ingest_value(text: str, kind: str) -> Column:
     if kind == "number":
         return F.expr(f"try_cast({value} as double)")
     # As an integer conversion: a fraction in a number is cut off, not rounded.
-    return F.expr(f"try_cast(nullif(regexp_extract({value}, r'^([+-]?\d+)(\.\d*)?$', 1), '') as bigint)")
+    return F.expr(rf"try_cast(nullif(regexp_extract({value}, r'^([+-]?\d+)(\.\d*)?$', 1), '') as bigint)")
 
 
 def unreadable(text: str, value: Column) -> Column:

@@ -7,14 +7,17 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Recommended settings; none of them changes a result. Shuffle partitions are left to AQE, which
-# merges small ones: set spark.sql.shuffle.partitions to a few times the cores of the cluster.
+# Settings that suit wide report rows; none of them changes a result. The number of shuffle
+# partitions is left to the cluster: AQE merges small ones.
 RECOMMENDED_SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.parquet.aggregatePushdown": "true",
+    # Java does not compile methods over this size. Whole-stage code for 80 casts is larger, and
+    # would be interpreted; beyond the limit Spark falls back to code in smaller methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Column calls are many here, and recording a Python stack trace for each is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_scratch: dict[str, str] = {}
@@ -27,6 +30,14 @@ def tune(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Applies the recommended settings to a running session, as far as they can still change."""
+    for key, value in RECOMMENDED_SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, as named in ``spark.checkpoint.dir``.
 

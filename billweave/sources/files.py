@@ -1,14 +1,66 @@
-"""Report files: CSV, Parquet, and the spreading of inputs that come in very few pieces."""
+"""Report files: CSV and Parquet, read as text, and the spreading of inputs in very few pieces."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pathlib import PurePosixPath
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from billweave.functions import quote_name, quote_text
 from billweave.session import scratch_path
 
 # An input of at most this many pieces, about 2 GB, counts as small.
 _SMALL_PIECES = 16
 
+# Quotes inside quoted fields are doubled, as in the JSON text of the product column.
+CSV_FORMAT = {"header": "true", "quote": '"', "escape": '"'}
+
+
+def read_csv_report(
+    spark: SparkSession,
+    path: str | list[str],
+    column_types: dict[str, str] | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """CSV report files with a header as one relation; every column is text.
+
+    ``column_types`` declares other types for some columns. ``multi_line`` allows line feeds
+    inside quoted fields, at the price that a file can no longer be split between tasks.
+    """
+    # A blank field is NULL either way; the header of every file is checked against the first one.
+    reader = spark.read.options(**CSV_FORMAT, multiLine=multi_line, enforceSchema=False)
+    names = reader.csv(path).columns
+    declared = column_types or {}
+    schema = T.StructType(
+        [T.StructField(n, T.DataType.fromDDL(declared.get(n, "string"))) for n in names]
+    )
+    return reader.schema(schema).csv(path)
+
+
+def register_csv_folder(spark: SparkSession, folder: str, files: list[str]) -> list[str]:
+    """Makes each named CSV file of a folder a temporary view called like the file."""
+    views = []
+    for file in files:
+        view = PurePosixPath(file).stem
+        options = ", ".join(f"{k} {quote_text(v)}" for k, v in CSV_FORMAT.items())
+        spark.sql(
+            f"CREATE OR REPLACE TEMPORARY VIEW {quote_name(view)} USING csv "
+            f"OPTIONS (path {quote_text(folder.rstrip('/') + '/' + file)}, {options})"
+        )
+        views.append(view)
+    return views
+
+
+def read_parquet_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Parquet files by file, pattern or folder, sub-folders included; fails when there are none."""
+    paths = [path] if isinstance(path, str) else path
+    reader = spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.parquet")
+    report = reader.parquet(*paths)
+    if report.isEmpty():
+        raise ValueError(f"no report rows found at {', '.join(paths)}")
+    return report
+
 
 def spread_small(df: DataFrame) -> DataFrame:
     """Stores a small input again in as many pieces as there are cores.
