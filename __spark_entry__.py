@@ -31,7 +31,7 @@ from billweave.sinks.catalogs import CatalogTarget  # noqa: E402
 from billweave.sinks.csv_files import write_csv  # noqa: E402
 from billweave.sinks.tables import append_batch, create_if_absent, sample_table  # noqa: E402
 from billweave.sources.event_logs import coerce_records, event_records  # noqa: E402
-from billweave.sources.files import read_csv_report  # noqa: E402
+from billweave.sources.files import read_csv_report, spread_small  # noqa: E402
 from billweave.sources.star_schema import raw_report  # noqa: E402
 from billweave.sources.synthetic import add_report_columns  # noqa: E402
 from billweave.streaming.ingest import RawTable, ingest, landed_files  # noqa: E402
@@ -139,7 +139,7 @@ def _append_readback(spark: SparkSession, folder: str) -> DataFrame:
 
 def _event_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     """The events as log lines, with other text around the objects, read back as report records."""
-    events = spark.read.parquet(f"{folder}/events.parquet")
+    events = spread_small(spark.read.parquet(f"{folder}/events.parquet"))
     record = F.struct(
         F.col("event_type").alias("_file"),
         F.col("event_id").alias("_line"),
@@ -187,5 +187,5 @@ def _stream_ingest_marts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _synthetic_report(spark: SparkSession, folder: str) -> DataFrame:
     """Drawn report columns for every order."""
-    orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey")
+    orders = spread_small(spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey"))
     return add_report_columns(orders, "o_orderkey", seed=7)
