@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from billweave.schema import STAGING_SOURCES
 
 _TEXTS = """
-aws_cloud_cost_report: Standard cost and usage report, one record per line item.
+cost_report: Standard cost and usage report, one record per line item.
 _file: Path of the report file; exports that keep old versions put the version time into it.
 report: Bucket and report name, the first two parts of the file path.
 _fivetran_synced: When the record was loaded.

@@ -82,19 +82,18 @@ def ingest_time(text: str) -> Column:
     trailing ``Z`` or offset, which is applied. The result does not depend on the session zone.
     """
     value = f"trim({text})"
-    number = f"case when {_may_be_number(value)} then try_cast({value} as decimal(38,6)) end"
-    seconds = f"cast(if({number} > 10000000000, {number} / 1000, {number}) as decimal(18,6))"
-    from_epoch = f"{_EPOCH} + make_dt_interval(0, 0, 0, {seconds})"
-
-    # The offset of a time such as 10:00:00.5+05:30, as "+0530"; '' without one.
-    offset = rf"replace(regexp_extract({value}, r'\d:\d\d.*([+-]\d\d:?\d\d)$', 1), ':')"
-    sign = f"if(startswith({offset}, '-'), -1, 1)"
-    hours = f"coalesce({sign} * try_cast(substr({offset}, 2, 2) as int), 0)"
-    minutes = f"coalesce({sign} * try_cast(substr({offset}, 4, 2) as int), 0)"
-    shift = F.expr(f"make_dt_interval(0, {hours}, {minutes}, 0)")
-    return F.when(F.expr(f"({number}) is not null"), F.expr(from_epoch)).otherwise(
-        lenient_time(value) - shift
+    unit = f"if(try_cast({value} as double) > 10000000000, 1000, 1)"
+    seconds = f"cast(try_cast({value} as decimal(38,6)) / {unit} as decimal(18,6))"
+    # The offset of a time such as 10:00:00.5+0530, as the interval +05:30.
+    offset = rf"regexp_replace({value}, r'^.*([+-]\d\d):?(\d\d)$', r'$1:$2')"
+    shift = F.expr(
+        rf"case when {value} rlike r':\d\d.*[+-]\d\d:?\d\d$' "
+        f"then try_cast({offset} as interval hour to minute) else interval '0:00' hour to minute end"
     )
+    return F.when(
+        F.expr(f"{value} rlike r'^-?[0-9.]+$'"),
+        F.expr(f"{_EPOCH} + make_dt_interval(0, 0, 0, {seconds})"),
+    ).otherwise(lenient_time(value) - shift)
 
 
 def ingest_value(text: str, kind: str) -> Column:
@@ -112,10 +111,10 @@ def ingest_value(text: str, kind: str) -> Column:
 
 def unreadable(text: str, value: Column) -> Column:
     """True where ``text`` holds something and ``value``, its cast, is NULL."""
-    return F.expr(f"{text} > ''") & value.isNull()
+    return F.expr(f"trim({text}) > ''") & value.isNull()
 
 
 def strict(text: str, value: Column, column: str) -> Column:
     """``value``, or a failing job where the text could not be read."""
-    complaint = F.concat(F.lit(f"cannot read {column}: "), F.expr(text))
-    return F.when(unreadable(text, value), F.raise_error(complaint)).otherwise(value)
+    complaint = F.raise_error(F.concat(F.lit(f"cannot read {column}: "), F.expr(text)))
+    return F.coalesce(value, F.when(F.expr(f"trim({text}) > ''"), complaint))

@@ -82,8 +82,14 @@ def append_batch(df: DataFrame, name: str) -> int:
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Replaces the partitions that ``df`` has rows for, and leaves the others."""
-    ordered = df.select(*df.sparkSession.table(name).columns)
-    ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    # For tables of the session catalog the mode is a session setting, not a writer option.
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
