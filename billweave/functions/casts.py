@@ -35,7 +35,7 @@ def lenient_time(text: str) -> Column:
     Spark alone would also read "2024", "2024-04", "now" or "today" as a time.
     """
     full_date = (
-        f"substr({text}, 5, 1) = '-' and length({text}) >= 8 and right({text}, 1) not in (' ', 'T')"
+        f"substr({text}, 5, 1) = '-' and length({text}) >= 8 and substr({text}, -1, 1) not in (' ', 'T')"
     )
     return F.expr(f"case when {full_date} then try_cast({text} as timestamp_ntz) end")
 
@@ -47,7 +47,7 @@ def _may_be_number(text: str) -> str:
     that a cast could not read, each of which would cost an exception.
     """
     return (
-        f"{text} > '' and {text} < ':' and right({text}, 1) < ':' "
+        f"{text} > '' and {text} < ':' and substr({text}, -1, 1) < ':' "
         f"and not contains({text}, 'x') and not contains({text}, 'X')"
     )
 

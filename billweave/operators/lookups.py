@@ -46,7 +46,9 @@ def settle(df: DataFrame, label: str) -> Lookup:
     return Lookup(spark.read.schema(df.schema).parquet(path), measured.get["size"] or 0)
 
 
-def join_lookup(df: DataFrame, lookup: Lookup, keys: dict[str, str], how: str, null_safe: bool = False) -> DataFrame:
+def join_lookup(
+    df: DataFrame, lookup: Lookup, keys: dict[str, str], how: str, null_safe: bool = False
+) -> DataFrame:
     """Joins ``df`` to a lookup; ``keys`` maps columns of ``df`` to columns of the lookup.
 
     The key columns of the lookup are dropped. While the lookup fits into a broadcast, ``df`` is
@@ -60,7 +62,7 @@ def join_lookup(df: DataFrame, lookup: Lookup, keys: dict[str, str], how: str, n
         table = F.broadcast(table)
     else:
         last = F.lit(SALTS - 1).cast("long")
-        df = df.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+        df = df.withColumn("__salt", F.pmod(F.xxhash64(*_row_identity(df)), F.lit(SALTS)))
         table = table.withColumn("__lookup_salt", F.explode(F.sequence(F.lit(0).cast("long"), last)))
         on.append((F.col("__salt"), F.col("__lookup_salt")))
     matches = [a.eqNullSafe(b) if null_safe else a == b for a, b in on]
@@ -68,6 +70,12 @@ def join_lookup(df: DataFrame, lookup: Lookup, keys: dict[str, str], how: str, n
     return joined.drop(*renamed.values(), "__salt", "__lookup_salt")
 
 
+def _row_identity(df: DataFrame) -> list[str]:
+    """Columns that tell report lines apart. A salt made of them is the same when a lost task is
+    run again, which a counter or a random number would not be."""
+    return [c for c in ("_file", "_line") if c in df.columns] or df.columns
+
+
 def _width(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.StringType):
         return F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + 16

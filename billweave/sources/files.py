@@ -73,5 +73,6 @@ def spread_small(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() >= min(cores, _SMALL_PIECES):
         return df
     path = scratch_path(spark, "spread-input")
-    df.repartition(cores).write.parquet(path)
+    # By hash, which needs no sort to be repeatable, as a round-robin would.
+    df.repartition(cores, *df.columns).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

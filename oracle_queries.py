@@ -39,7 +39,7 @@ def _listed(items) -> str:
 
 RAW = f"""
 lines as (
-  select *, substr(cast(l_shipdate as varchar), 1, 7) as m, cast(year(l_shipdate) as varchar) as y,
+  select *, substr(cast(l_shipdate as varchar), 1, 7) as m, if(year(l_shipdate) < 1998, ' (old)', '') as era,
     ['Compute', 'Storage', 'Network'][1 + l_partkey % 3] as service
   from lineitem join nation on l_suppkey % 25 = n_nationkey
 ),
