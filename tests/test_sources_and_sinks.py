@@ -50,6 +50,7 @@ def test_parquet_folder(spark, report, tmp_path):
     report([{"_line": 1}]).write.parquet(str(tmp_path / "a" / "b"))
     report([{"_line": 2}]).write.parquet(str(tmp_path / "c"))
     assert sorted(r._line for r in read_parquet_report(spark, str(tmp_path)).collect()) == ["1", "2"]
+    assert [r._line for r in read_parquet_report(spark, str(tmp_path / "c" / "*.parquet")).collect()] == ["2"]
     report([]).write.parquet(str(tmp_path / "none"))
     with pytest.raises(ValueError, match="no report rows"):
         read_parquet_report(spark, str(tmp_path / "none"))
