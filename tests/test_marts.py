@@ -76,6 +76,23 @@ def test_names_fill_in(report):
     assert names == {(1, "old"), (1, "new"), (2, "a"), (2, "b"), (None, "nobody"), (None, None)}
 
 
+def test_names_too_many_to_broadcast_fill_in_the_same(spark, report):
+    lines = [
+        {"line_item_usage_account_id": n % 5 or "", "line_item_usage_account_name": f"n{n}" if n % 3 else "", "_line": n,
+         "line_item_usage_start_date": f"2024-04-{10 + n % 9}"}
+        for n in range(60)
+    ]
+    staged = stage_report(report(lines, **MONTH))
+    expected = daily_overview(staged).collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = daily_overview(staged)
+        assert shuffled._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 2
+        assert sorted(shuffled.collect(), key=str) == sorted(expected, key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_rollups(report):
     lines = [
         {"line_item_usage_type": t, "product_region_code": r, "product_servicecode": s, "line_item_unblended_cost": c}
