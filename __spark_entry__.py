@@ -37,6 +37,15 @@ from billweave.sources.synthetic import add_report_columns  # noqa: E402
 from billweave.streaming.ingest import RawTable, ingest, landed_files  # noqa: E402
 from billweave.streaming.refresh import DailyRefresh  # noqa: E402
 
+try:  # the subpackage llm and its pipeline may be left out of an installation
+    import corpus_pipeline
+    from billweave.llm import queries as llm_queries
+    from billweave.llm import sql as llm_sql
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "billweave.llm"):
+        raise
+    corpus_pipeline = None
+
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 SESSION_CATALOG = CatalogTarget("builtin", "default")
 
@@ -74,12 +83,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ingest_marts": _stream_ingest_marts,
         "synthetic_report": _synthetic_report,
     }
+    if corpus_pipeline is not None:
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
     return {name: _prepared(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results in DuckDB SQL; none for ``synthetic_report``, whose draws are Spark hashes."""
-    return oracle_queries.all_queries()
+    found = oracle_queries.all_queries()
+    if corpus_pipeline is not None:
+        found |= llm_sql.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
 
 
 def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
