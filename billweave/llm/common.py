@@ -65,7 +65,9 @@ def partitions_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+def pieces(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int, rows: int = 1 << 30
+) -> Iterator[pa.RecordBatch]:
     """Slices batches so that the texts of ``column`` in one slice have about ``limit`` bytes (or are one text)."""
     import pyarrow.compute as pc
 
@@ -73,7 +75,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         begin, total = 0, 0
         for i, n in enumerate(sizes):
-            if i > begin and total + n > limit:
+            if i > begin and (total + n > limit or i - begin >= rows):
                 yield batch.slice(begin, i - begin)
                 begin, total = i, 0
             total += int(n)

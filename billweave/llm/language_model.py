@@ -46,13 +46,16 @@ from .elias_fano import EliasFano, find_within, mapped
 MOST_SPLIT = 1000
 # Back-off share of contexts that are split.
 SPLIT_BACKOFF = 0.3
-SHARD_TOKENS = 6_000_000
+SHARD_TOKENS = 3_000_000
 SLICE_BYTES = 8_000_000
-SPOOL_BYTES = 64_000_000
+SPOOL_BYTES = 40_000_000
 BEGIN, END = xxhash.xxh64_intdigest(b" begin"), xxhash.xxh64_intdigest(b" end")
 _LOG_RANGE = 12.0
 _PARTS = "doc_id long, row_key long, n_tokens long, n_known long, base double, score double, n_rows long, unseen long, unseen_n long"
-_BLOBS = ("contexts", "n_tokens", "tokens", "n_docs", "trained", "docs", "times", "doc_ids", "row_keys")
+# Tokens travel as 48 bits of their hash, documents as 16-bit numbers within a slice.
+_BLOBS = ("contexts", "n_tokens", "high", "low", "n_docs", "trained", "docs", "times", "doc_ids", "row_keys")
+_KINDS = ("u8", "<u4", "<u4", "<u2", "<u4", "<u4", "<u2", "<u4", None, "i8")
+_SLICE_ROWS = 1 << 16
 
 
 def held_out(doc_id: Column) -> Column:
@@ -128,10 +131,11 @@ def _sliced_bigrams(batch: pa.RecordBatch, split: set[int], shards: int) -> Iter
             k,
             words[context[a:b][starts]].tobytes(),
             np.diff(np.r_[starts, b - a]).astype("<u4").tobytes(),
-            words[token[a:b]].tobytes(),
+            (words[token[a:b]] >> np.uint64(32)).astype("<u4").tobytes(),
+            ((words[token[a:b]] >> np.uint64(16)) & np.uint64(0xFFFF)).astype("<u2").tobytes(),
             n_docs[a:b].astype("<u4").tobytes(),
             trained[a:b].astype("<u4").tobytes(),
-            doc[entries[a] : entries[b]].astype("<u4").tobytes(),
+            doc[entries[a] : entries[b]].astype("<u2").tobytes(),
             times[entries[a] : entries[b]].astype("<u4").tobytes(),
             names,
             row_keys,
@@ -142,13 +146,13 @@ class Shard:
     """The trie of a shard's contexts."""
 
     def __init__(self, contexts: np.ndarray, tokens: np.ndarray, counts: np.ndarray, known: dict[int, int]):
-        """Bigrams with their training counts, in any order and with repeats; ``known``: counts of split contexts."""
+        """Bigrams (tokens: 48 bits) with training counts, in any order, with repeats; ``known``: split contexts' counts."""
         contexts, tokens, counts = (a[counts > 0] for a in (contexts, tokens, counts))
         # A split context is known even where none of its training bigrams is.
         split = np.fromiter((c for c, n in known.items() if n), np.uint64)
         found = np.union1d(contexts, split)
         owner = np.searchsorted(found, contexts)
-        keys = (owner.astype(np.uint64) << np.uint64(32)) | (tokens >> np.uint64(32))
+        keys = (owner.astype(np.uint64) << np.uint64(32)) | (tokens >> np.uint64(16))
         order = np.argsort(keys)
         keys = keys[order]
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
@@ -176,7 +180,7 @@ class Shard:
         begin = self.pointers.access(here).astype(np.int64)
         end = np.where(at >= 0, self.pointers.access(here + 1).astype(np.int64), begin)
         found = find_within(
-            self.tokens, np.repeat(begin, n_tokens), np.repeat(end, n_tokens), (tokens >> np.uint64(32)).astype(np.uint32)
+            self.tokens, np.repeat(begin, n_tokens), np.repeat(end, n_tokens), (tokens >> np.uint64(16)).astype(np.uint32)
         )
         return at, found
 
@@ -184,10 +188,17 @@ class Shard:
         return self.quantised[index] * (-_LOG_RANGE / 65535)
 
 
+def _short(words: np.ndarray) -> np.ndarray:
+    """The 48 bits of hashed words that travel."""
+    return words >> np.uint64(16)
+
+
 def _unpacked(row: dict) -> dict:
-    kinds = ("u8", "<u4", "u8", "<u4", "<u4", "<u4", "<u4", None, "i8")
-    out = {n: np.frombuffer(row[n], k) if k else pickle.loads(row[n]) for n, k in zip(_BLOBS, kinds, strict=True)}
-    return out | {"n_tokens": out["n_tokens"].astype(np.int64), "n_docs": out["n_docs"].astype(np.int64)}
+    out = {n: np.frombuffer(row[n], k) if k else pickle.loads(row[n]) for n, k in zip(_BLOBS, _KINDS, strict=True)}
+    tokens = (out.pop("high").astype(np.uint64) << np.uint64(16)) | out.pop("low")
+    return out | {
+        "tokens": tokens, "n_tokens": out["n_tokens"].astype(np.int64), "n_docs": out["n_docs"].astype(np.int64)
+    }
 
 
 def _shard_parts(rows: Iterator[dict], known: dict[int, int], log_p1: dict[int, float]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +216,7 @@ def _shard_parts(rows: Iterator[dict], known: dict[int, int], log_p1: dict[int,
         shard = Shard(np.concatenate(contexts), np.concatenate(tokens), np.concatenate(counts), known)
         del contexts, tokens, counts
         spool.seek(0)
-        common = np.fromiter(log_p1, np.uint64, len(log_p1))
+        common = _short(np.fromiter(log_p1, np.uint64, len(log_p1)))
         order = np.argsort(common)
         common, common_logs = common[order], np.fromiter(log_p1.values(), float, len(log_p1))[order]
         for _ in range(n_rows):
@@ -274,7 +285,7 @@ def score(docs: DataFrame) -> DataFrame:
     split = set(known)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", SLICE_BYTES):
+        for batch in pieces(batches, "text", SLICE_BYTES, _SLICE_ROWS):
             for row in _sliced_bigrams(batch, split, shards):
                 kinds_ = [pa.int32(), *[pa.binary()] * len(_BLOBS)]
                 yield pa.RecordBatch.from_arrays(
@@ -290,7 +301,8 @@ def score(docs: DataFrame) -> DataFrame:
     by_shard = dealt.repartition(shards, "shard").sortWithinPartitions("shard")
     parts = stored(by_shard.mapInArrow(look_up, _PARTS), "language-model-parts")
     asked = parts.filter("unseen is not null").select("doc_id", "row_key", "unseen", "unseen_n")
-    answered = asked.join(unigrams.withColumnRenamed("word", "unseen"), "unseen", "left").select(
+    shortened = unigrams.groupBy(F.shiftrightunsigned("word", 16).alias("unseen")).agg(F.sum("n").alias("n"))
+    answered = asked.join(shortened, "unseen", "left").select(
         "doc_id",
         "row_key",
         *[F.lit(0).cast("long").alias(c) for c in ("n_tokens", "n_known")],
