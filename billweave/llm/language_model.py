@@ -36,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,14 +48,14 @@ MOST_SPLIT = 1000
 # Back-off share of contexts that are split.
 SPLIT_BACKOFF = 0.3
 SHARD_TOKENS = 3_000_000
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 6_000_000
 SPOOL_BYTES = 40_000_000
 BEGIN, END = xxhash.xxh64_intdigest(b" begin"), xxhash.xxh64_intdigest(b" end")
 _LOG_RANGE = 12.0
 _PARTS = "doc_id long, row_key long, n_tokens long, n_known long, base double, score double, n_rows long, unseen long, unseen_n long"
-# Tokens travel as 48 bits of their hash, documents as 16-bit numbers within a slice.
-_BLOBS = ("contexts", "n_tokens", "high", "low", "n_docs", "trained", "docs", "times", "doc_ids", "row_keys")
-_KINDS = ("u8", "<u4", "<u4", "<u2", "<u4", "<u4", "<u2", "<u4", None, "i8")
+# Words travel as 48 bits of their hash, documents as 16-bit numbers within a slice; counts are compressed.
+_BLOBS = ("contexts", "n_tokens", "tokens", "n_docs", "trained", "docs", "times", "doc_ids", "row_keys")
+_COUNTS = {"n_tokens": "<u4", "n_docs": "<u4", "trained": "<u4", "docs": "<u2", "times": "<u4"}
 _SLICE_ROWS = 1 << 16
 
 
@@ -129,14 +130,13 @@ def _sliced_bigrams(batch: pa.RecordBatch, split: set[int], shards: int) -> Iter
         starts = np.flatnonzero(np.r_[True, context[a + 1 : b] != context[a : b - 1]])
         yield (
             k,
-            words[context[a:b][starts]].tobytes(),
-            np.diff(np.r_[starts, b - a]).astype("<u4").tobytes(),
-            (words[token[a:b]] >> np.uint64(32)).astype("<u4").tobytes(),
-            ((words[token[a:b]] >> np.uint64(16)) & np.uint64(0xFFFF)).astype("<u2").tobytes(),
-            n_docs[a:b].astype("<u4").tobytes(),
-            trained[a:b].astype("<u4").tobytes(),
-            doc[entries[a] : entries[b]].astype("<u2").tobytes(),
-            times[entries[a] : entries[b]].astype("<u4").tobytes(),
+            _packed_words(words[context[a:b][starts]]),
+            _packed_counts(np.diff(np.r_[starts, b - a]), "n_tokens"),
+            _packed_words(words[token[a:b]]),
+            _packed_counts(n_docs[a:b], "n_docs"),
+            _packed_counts(trained[a:b], "trained"),
+            _packed_counts(doc[entries[a] : entries[b]], "docs"),
+            _packed_counts(times[entries[a] : entries[b]], "times"),
             names,
             row_keys,
         )
@@ -146,10 +146,10 @@ class Shard:
     """The trie of a shard's contexts."""
 
     def __init__(self, contexts: np.ndarray, tokens: np.ndarray, counts: np.ndarray, known: dict[int, int]):
-        """Bigrams (tokens: 48 bits) with training counts, in any order, with repeats; ``known``: split contexts' counts."""
+        """Bigrams (48 bits of each word) with training counts, in any order, with repeats; ``known``: split contexts' counts."""
         contexts, tokens, counts = (a[counts > 0] for a in (contexts, tokens, counts))
         # A split context is known even where none of its training bigrams is.
-        split = np.fromiter((c for c, n in known.items() if n), np.uint64)
+        split = np.fromiter((c >> 16 for c, n in known.items() if n), np.uint64)
         found = np.union1d(contexts, split)
         owner = np.searchsorted(found, contexts)
         keys = (owner.astype(np.uint64) << np.uint64(32)) | (tokens >> np.uint64(16))
@@ -163,8 +163,8 @@ class Shard:
         totals = np.bincount(owner, counts, minlength=len(found))
         backoff = successors / np.maximum(successors + totals, 1)
         at = np.searchsorted(found, split)
-        totals[at], backoff[at] = [known[c] for c in split.tolist()], SPLIT_BACKOFF
-        self.contexts = EliasFano(found >> np.uint64(16), (1 << 48) - 1)
+        totals[at], backoff[at] = [n for n in known.values() if n], SPLIT_BACKOFF
+        self.contexts = EliasFano(found, (1 << 48) - 1)
         self.pointers = EliasFano(np.r_[0, np.cumsum(successors)], len(keys))
         self.tokens = mapped((keys & np.uint64(0xFFFFFFFF)).astype(np.uint32))
         logs = np.log10((1 - backoff)[owner] * counts / np.maximum(totals[owner], 1))
@@ -173,7 +173,7 @@ class Shard:
 
     def find(self, contexts: np.ndarray, n_tokens: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Contexts with ``n_tokens`` tokens each: the index of every context, and of every bigram (or -1)."""
-        at = self.contexts.find(contexts >> np.uint64(16))
+        at = self.contexts.find(contexts)
         here = np.maximum(at, 0)
         if not self.contexts.count:
             return at, np.full(len(tokens), -1, np.int64)
@@ -193,12 +193,29 @@ def _short(words: np.ndarray) -> np.ndarray:
     return words >> np.uint64(16)
 
 
-def _unpacked(row: dict) -> dict:
-    out = {n: np.frombuffer(row[n], k) if k else pickle.loads(row[n]) for n, k in zip(_BLOBS, _KINDS, strict=True)}
-    tokens = (out.pop("high").astype(np.uint64) << np.uint64(16)) | out.pop("low")
-    return out | {
-        "tokens": tokens, "n_tokens": out["n_tokens"].astype(np.int64), "n_docs": out["n_docs"].astype(np.int64)
+def _packed_words(words: np.ndarray) -> bytes:
+    return np.ascontiguousarray(_short(words).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _unpacked_words(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
+def _packed_counts(values: np.ndarray, name: str) -> bytes:
+    return zstandard.compress(values.astype(_COUNTS[name]).tobytes(), 1)
+
+
+def _unpacked(row: dict, but: tuple[str, ...] = ()) -> dict:
+    """The arrays of a row, without those named in ``but``."""
+    out = {n: _unpacked_words(row[n]) for n in ("contexts", "tokens")}
+    out |= {
+        n: np.frombuffer(zstandard.decompress(row[n]), kind).astype(np.int64)
+        for n, kind in _COUNTS.items()
+        if n not in but
     }
+    return out | {"doc_ids": pickle.loads(row["doc_ids"]), "row_keys": np.frombuffer(row["row_keys"], np.int64)}
 
 
 def _shard_parts(rows: Iterator[dict], known: dict[int, int], log_p1: dict[int, float]) -> Iterator[pa.RecordBatch]:
@@ -208,11 +225,11 @@ def _shard_parts(rows: Iterator[dict], known: dict[int, int], log_p1: dict[int,
         for row in rows:
             pickle.dump(row, spool)
             n_rows += 1
-            x = _unpacked({**row, "docs": b"", "times": b""})
+            x = _unpacked(row, ("docs", "times", "n_docs"))
             some = x["trained"] > 0
             contexts.append(np.repeat(x["contexts"], x["n_tokens"])[some])
             tokens.append(x["tokens"][some])
-            counts.append(x["trained"][some].astype(np.int64))
+            counts.append(x["trained"][some])
         shard = Shard(np.concatenate(contexts), np.concatenate(tokens), np.concatenate(counts), known)
         del contexts, tokens, counts
         spool.seek(0)
@@ -224,7 +241,7 @@ def _shard_parts(rows: Iterator[dict], known: dict[int, int], log_p1: dict[int,
             at, found = shard.find(x["contexts"], x["n_tokens"], x["tokens"])
             total = np.where(at >= 0, shard.totals[np.maximum(at, 0)] if len(shard.totals) else 0, 0)
             backoff = np.where(at >= 0, shard.backoff[np.maximum(at, 0)] if len(shard.totals) else 1, 1)
-            word = x["contexts"] != np.uint64(BEGIN)
+            word = x["contexts"] != np.uint64(BEGIN >> 16)
             base = np.repeat(np.where(word, np.log10(total + 1), 0), x["n_tokens"])
             is_known = np.repeat(word & (total > 0), x["n_tokens"])
             is_begin = np.repeat(~word, x["n_tokens"])
@@ -235,7 +252,7 @@ def _shard_parts(rows: Iterator[dict], known: dict[int, int], log_p1: dict[int,
             seen = np.flatnonzero(found >= 0)
             logs[seen] = shard.log_probability(found[seen])
             asks = (found < 0) & ~is_common
-            doc, times = x["docs"].astype(np.int64), x["times"].astype(np.int64)
+            doc, times = x["docs"], x["times"]
             spread = lambda values: np.repeat(values, x["n_docs"])  # noqa: B023, E731
             sums = [
                 np.bincount(doc, w, len(x["row_keys"]))
@@ -298,8 +315,7 @@ def score(docs: DataFrame) -> DataFrame:
             yield from _shard_parts(own, known, log_p1)
 
     dealt = rows.mapInArrow(deal, "shard int, " + ", ".join(f"{b} binary" for b in _BLOBS))
-    by_shard = dealt.repartition(shards, "shard").sortWithinPartitions("shard")
-    parts = stored(by_shard.mapInArrow(look_up, _PARTS), "language-model-parts")
+    parts = stored(dealt.repartitionById(shards, "shard").sortWithinPartitions("shard").mapInArrow(look_up, _PARTS), "language-model-parts")
     asked = parts.filter("unseen is not null").select("doc_id", "row_key", "unseen", "unseen_n")
     shortened = unigrams.groupBy(F.shiftrightunsigned("word", 16).alias("unseen")).agg(F.sum("n").alias("n"))
     answered = asked.join(shortened, "unseen", "left").select(
