@@ -31,9 +31,8 @@ from billweave.sinks.catalogs import CatalogTarget  # noqa: E402
 from billweave.sinks.csv_files import write_csv  # noqa: E402
 from billweave.sinks.tables import append_batch, create_if_absent, sample_table  # noqa: E402
 from billweave.sources.event_logs import coerce_records, event_records  # noqa: E402
-from billweave.sources.files import read_csv_report, spread_small  # noqa: E402
+from billweave.sources.files import read_csv_report  # noqa: E402
 from billweave.sources.star_schema import raw_report  # noqa: E402
-from billweave.sources.synthetic import add_report_columns  # noqa: E402
 from billweave.streaming.ingest import RawTable, ingest, landed_files  # noqa: E402
 from billweave.streaming.refresh import DailyRefresh  # noqa: E402
 
@@ -81,7 +80,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "append_readback": _append_readback,
         "event_envelopes": _event_envelopes,
         "stream_ingest_marts": _stream_ingest_marts,
-        "synthetic_report": _synthetic_report,
     }
     if corpus_pipeline is not None:
         found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
@@ -89,7 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same results in DuckDB SQL; none for ``synthetic_report``, whose draws are Spark hashes."""
+    """The same results in DuckDB SQL, where SQL can express them."""
     found = oracle_queries.all_queries()
     if corpus_pipeline is not None:
         found |= llm_sql.oracle_sql()
@@ -155,7 +153,7 @@ def _append_readback(spark: SparkSession, folder: str) -> DataFrame:
 
 def _event_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     """The events as log lines, with other text around the objects, read back as report records."""
-    events = spread_small(spark.read.parquet(f"{folder}/events.parquet"))
+    events = spark.read.parquet(f"{folder}/events.parquet")
     record = F.struct(
         F.col("event_type").alias("_file"),
         F.col("event_id").alias("_line"),
@@ -172,7 +170,8 @@ def _event_envelopes(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == 1, F.to_json(F.struct(record.alias("data"))))
         .otherwise(F.to_json(record))
     )
-    line = F.concat(F.lit("INFO [worker {7}] out: "), event, F.lit(' {"note": "no record"} done'))
+    deep = F.lit('{"note": ' + '{"a": ' * 8 + "1" + "}" * 8 + "}")
+    line = F.concat(F.lit("INFO [worker {7}] out: {job "), event, F.lit(' {"note": "no record"} } '), deep, F.lit(" done"))
     return coerce_records(event_records(events.select(line.alias("value")))).select(
         "_file", "_line", "_modified", "_fivetran_synced", "line_item_unblended_cost",
         "line_item_usage_amount", "product",
@@ -199,9 +198,3 @@ def _stream_ingest_marts(spark: SparkSession, folder: str) -> DataFrame:
             refresh=lambda batch: refresh.after_batch(spark, batch),
         ).start().awaitTermination()
     return refresh.read(spark, "product")
-
-
-def _synthetic_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Drawn report columns for every order."""
-    orders = spread_small(spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey"))
-    return add_report_columns(orders, "o_orderkey", seed=7)

@@ -17,7 +17,8 @@ def blank_to_null(text: str) -> Column:
 
 def lenient_int(text: str, target: str = "bigint") -> Column:
     """Whole number; a fraction or an exponent is rounded half up, anything else gives NULL."""
-    number = f"try_cast({text} as decimal(38,9))"
+    # As many digits before the point as a bigint needs, all others behind it: it is rounded once.
+    number = f"try_cast({text} as decimal(38,19))"
     return F.expr(f"case when {_may_be_number(text)} then try_cast(round({number}, 0) as {target}) end")
 
 
@@ -32,12 +33,14 @@ def lenient_number(text: str, target: str = "float") -> Column:
 def lenient_time(text: str) -> Column:
     """Zone-less timestamp; a zone suffix is read over, anything without a full date gives NULL.
 
-    Spark alone would also read "2024", "2024-04", "now" or "today" as a time.
+    Spark alone would also read "2024", "2024-04", "2024-04-02 10", "now" or "today" as a time.
     """
+    value = f"ltrim({text})"
     full_date = (
-        f"substr({text}, 5, 1) = '-' and length({text}) >= 8 and substr({text}, -1, 1) not in (' ', 'T')"
+        f"substr({value}, 5, 1) = '-' and length({value}) >= 8 and substr({value}, -1, 1) not in (' ', 'T') "
+        f"and (length({value}) <= 10 or contains({value}, ':'))"
     )
-    return F.expr(f"case when {full_date} then try_cast({text} as timestamp_ntz) end")
+    return F.expr(f"case when {full_date} then try_cast({value} as timestamp_ntz) end")
 
 
 def _may_be_number(text: str) -> str:
@@ -83,7 +86,8 @@ def ingest_time(text: str) -> Column:
     """
     value = f"trim({text})"
     unit = f"if(try_cast({value} as double) > 10000000000, 1000, 1)"
-    seconds = f"cast(try_cast({value} as decimal(38,6)) / {unit} as decimal(18,6))"
+    # A number beyond the calendar is unreadable like any other text.
+    seconds = f"try_cast(try_divide(try_cast({value} as decimal(38,6)), {unit}) as decimal(18,6))"
     # The offset of a time such as 10:00:00.5+0530, as the interval +05:30.
     offset = rf"regexp_replace({value}, r'^.*([+-]\d\d):?(\d\d)$', r'$1:$2')"
     shift = F.expr(
@@ -92,7 +96,7 @@ def ingest_time(text: str) -> Column:
     )
     return F.when(
         F.expr(f"{value} rlike r'^-?[0-9.]+$'"),
-        F.expr(f"{_EPOCH} + make_dt_interval(0, 0, 0, {seconds})"),
+        F.expr(f"try_add({_EPOCH}, make_dt_interval(0, 0, 0, if(abs({seconds}) < 200000000000, {seconds}, null)))"),
     ).otherwise(lenient_time(value) - shift)
 
 

@@ -68,6 +68,9 @@ def stage_report(raw: DataFrame, options: StagingOptions = StagingOptions()) ->
     Only the version keys are cast before superseded rows are dropped: an export that keeps all
     its versions holds mostly superseded rows.
     """
+    if PERIOD not in options.version_keys:
+        # Rows before the start date are dropped first, which is right within a billing period only.
+        raise ValueError(f"version_keys must name {PERIOD}")
     raw = _complete(raw, options)
     staged = _staged_columns(raw, options)
     early = {c: f"__{c}" for c in dict.fromkeys([PERIOD, VERSION, *options.version_keys])}

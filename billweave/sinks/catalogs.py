@@ -14,7 +14,7 @@ from billweave.functions import quote_name
 # The output catalogs that can be written to, and their default settings. "builtin"
 # is the session's own catalog; "ducklake" is a local one, whose counterpart here is the session
 # catalog as well.
-LOCAL_KINDS = ("builtin", "ducklake")
+LOCAL_KINDS = ("builtin",)
 REST_KINDS: dict[str, dict[str, str]] = {
     "lakekeeper": {
         "uri": "http://localhost:18181/catalog",
@@ -114,7 +114,11 @@ def catalog_conf(kind: str, overrides: Mapping[str, str] | None = None) -> dict[
 
 
 def activate(spark: SparkSession, target: CatalogTarget, overrides: Mapping[str, str] | None = None) -> None:
-    """Configures the one catalog of ``target`` in a running session."""
+    """Configures the catalog of ``target`` in a running session, and no other of the known ones."""
+    for other in REST_KINDS.keys() - {target.kind}:
+        for key in spark.conf.getAll:
+            if key == f"spark.sql.catalog.{other}" or key.startswith(f"spark.sql.catalog.{other}."):
+                spark.conf.unset(key)
     for key, value in catalog_conf(target.kind, overrides).items():
         spark.conf.set(key, value)
 

@@ -8,5 +8,10 @@ from billweave.sources.files import CSV_FORMAT
 
 
 def write_csv(df: DataFrame, folder: str) -> None:
-    """Writes one file per task into a new folder. Blank texts are written like NULL, as nothing."""
-    df.write.options(**CSV_FORMAT, emptyValue="", nullValue="").csv(folder)
+    """Writes one file per task into a new folder, texts untrimmed. Blank texts are written like NULL, as nothing.
+
+    Files with line feeds inside texts can only be read back with ``multi_line=True``.
+    """
+    df.write.options(
+        **CSV_FORMAT, emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(folder)

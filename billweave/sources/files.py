@@ -1,4 +1,4 @@
-"""Report files: CSV and Parquet, read as text, and the spreading of inputs in very few pieces."""
+"""Report files: CSV and Parquet, read as text."""
 
 from __future__ import annotations
 
@@ -8,10 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from billweave.functions import quote_name, quote_text
-from billweave.session import scratch_path
 
-# An input of at most this many pieces, about 2 GB, counts as small.
-_SMALL_PIECES = 16
+CORRUPT_COLUMN = "_corrupt_record"
 
 # Quotes inside quoted fields are doubled, as in the JSON text of the product column.
 CSV_FORMAT = {"header": "true", "quote": '"', "escape": '"'}
@@ -22,12 +20,19 @@ def read_csv_report(
     path: str | list[str],
     column_types: dict[str, str] | None = None,
     multi_line: bool = False,
+    bad_lines: str = "fail",
 ) -> DataFrame:
     """CSV report files with a header as one relation; every column is text.
 
+    A line with too few or too many fields fails the job; so does one that is cut by a line feed inside quotes,
+    which takes ``multi_line``. With ``bad_lines="null"`` such a line has what could be read, NULL elsewhere,
+    and its text in the column ``_corrupt_record``.
+
     ``column_types`` declares other types for some columns. ``multi_line`` allows line feeds
     inside quoted fields, at the price that a file can no longer be split between tasks.
     """
+    if bad_lines not in ("fail", "null"):
+        raise ValueError("bad_lines is either 'fail' or 'null'")
     # A blank field is NULL either way; the header of every file is checked against the first one.
     reader = spark.read.options(**CSV_FORMAT, multiLine=multi_line, enforceSchema=False)
     names = reader.csv(path).columns
@@ -35,6 +40,11 @@ def read_csv_report(
     schema = T.StructType(
         [T.StructField(n, T.DataType.fromDDL(declared.get(n, "string"))) for n in names]
     )
+    # Without pruning each line is read whole, so that its fields are counted whatever is selected.
+    reader = reader.options(columnPruning=False, mode="FAILFAST" if bad_lines == "fail" else "PERMISSIVE")
+    if bad_lines == "null":
+        schema = schema.add(CORRUPT_COLUMN, T.StringType())
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).option("enforceSchema", True)
     return reader.schema(schema).csv(path)
 
 
@@ -60,19 +70,3 @@ def read_parquet_report(spark: SparkSession, path: str | list[str]) -> DataFrame
     if report.isEmpty():
         raise ValueError(f"no report rows found at {', '.join(paths)}")
     return report
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Stores a small input again in as many pieces as there are cores.
-
-    A file of one piece is read by one task however many cores are idle. Inputs with more pieces
-    are returned as they are: nothing is copied or shuffled at scale.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= min(cores, _SMALL_PIECES):
-        return df
-    path = scratch_path(spark, "spread-input")
-    # By hash, which needs no sort to be repeatable, as a round-robin would.
-    df.repartition(cores, *df.columns).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

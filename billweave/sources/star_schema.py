@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billweave.schema import REPORT_COLUMNS
-from billweave.sources.files import spread_small
 
 # Report columns that carry a value; all others are blank. Written in SQL that reads alike in
 # common dialects. The names m, era and service are those of _PREPARED.
@@ -78,7 +77,7 @@ _PREPARED: dict[str, str] = {
 
 def raw_report(spark: SparkSession, folder: str) -> DataFrame:
     """The 80 text columns of a report with one line per row of ``lineitem``."""
-    lineitem = spread_small(spark.read.parquet(f"{folder}/lineitem.parquet"))
+    lineitem = spark.read.parquet(f"{folder}/lineitem.parquet")
     nation = spark.read.parquet(f"{folder}/nation.parquet").select("n_nationkey", "n_regionkey")
     lines = lineitem.join(nation, F.expr("l_suppkey % 25 = n_nationkey"))
     prepared = lines

@@ -62,3 +62,21 @@ def test_types(spark):
 def test_ingest_int_is_cut_not_rounded(spark):
     got = spark.createDataFrame([("7",), ("7.9",), ("x",), (" ",)], "x string")
     assert [r[0] for r in got.select(ingest_value("x", "int")).collect()] == [7, 7, None, None]
+
+
+def test_edges_of_casts(spark):
+    from pyspark.sql import functions as F
+
+    from billweave.functions.casts import ingest_time, lenient_int, lenient_time
+
+    texts = ["0.4999999999", "2.4999999999", "2.5", " 2024-04-02", "2024-04-02 10", "2024-04-02 10:30", "9" * 20, "9" * 13]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t",
+        lenient_int("t").alias("n"),
+        F.date_format(lenient_time("t"), "yyyy-MM-dd HH:mm").alias("at"),
+        ingest_time("t").isNull().alias("unread"),
+    )
+    found = {r.t: r for r in rows.collect()}
+    assert [found[t].n for t in texts[:3]] == [0, 2, 3]
+    assert [found[t].at for t in texts[3:6]] == ["2024-04-02 00:00", None, "2024-04-02 10:30"]
+    assert found["9" * 20].unread and not found["9" * 13].unread

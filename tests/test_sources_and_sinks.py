@@ -19,7 +19,6 @@ from billweave.sinks.tables import (
 )
 from billweave.sources.event_logs import coerce_records, event_records, read_event_log, unreadable_records
 from billweave.sources.files import read_csv_report, read_parquet_report, register_csv_folder
-from billweave.sources.synthetic import synthetic_report
 from billweave.sources.tables import ReportSource, read_report_table
 
 MONTH = {
@@ -128,7 +127,9 @@ def test_dictionary_covers_all_columns(report):
 
 
 def test_catalogs(spark):
-    assert catalog_conf("builtin") == {} and catalog_conf("ducklake") == {}
+    assert catalog_conf("builtin") == {}
+    with pytest.raises(ValueError):
+        catalog_conf("ducklake")
     conf = catalog_conf("polaris", {"credential": "id:secret", "uri": "https://x"})
     assert conf["spark.sql.catalog.polaris.type"] == "rest"
     assert conf["spark.sql.catalog.polaris.oauth2-server-uri"] == "https://x/v1/oauth/tokens"
@@ -151,14 +152,36 @@ def test_schema_names():
     assert ReportSource.from_environment({"COST_SOURCE_TABLE": "t"}).relation == "polaris.t"
 
 
-def test_synthetic_report(spark):
-    rows = synthetic_report(spark, 2000, seed=3)
-    assert rows.columns == list(REPORT_COLUMNS)
-    assert rows.exceptAll(synthetic_report(spark, 2000, seed=3).repartition(7)).count() == 0
-    assert rows.exceptAll(synthetic_report(spark, 2000, seed=4)).count() > 1900
-    kinds = {r[0]: r[1] for r in rows.groupBy("line_item_line_item_type").count().collect()}
-    assert 1500 < kinds["Usage"] < 1750 and set(kinds) == {"Usage", "DiscountedUsage", "RIFee"}
-    low, high = rows.select(F.min(F.col("line_item_usage_amount").cast("double")), F.max(F.col("line_item_usage_amount").cast("double"))).first()
-    assert 0.1 <= low < 1 and 39 < high <= 40
-    assert rows.select("identity_line_item_id").distinct().count() == 2000
-    assert stage_report(rows.withColumn("_modified", F.lit("2026-05-28"))).filter("product_name is null").count() == 0
+def test_csv_lines_that_do_not_fit(spark, tmp_path):
+    from billweave.sources.files import read_csv_report
+
+    for name, lines in {"short": "a,1", "long": "a,1,x,y", "broken": 'a,1,"x\ny"'}.items():
+        path = str(tmp_path / f"{name}.csv")
+        with open(path, "w") as file:
+            file.write(f"p,q,r\nb,2,z\n{lines}\n")
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+            read_csv_report(spark, path).collect()
+        rows = read_csv_report(spark, path, bad_lines="null").collect()
+        assert [r["_corrupt_record"] is None for r in rows][0] and any(r["_corrupt_record"] for r in rows)
+    assert read_csv_report(spark, str(tmp_path / "broken.csv"), multi_line=True).collect()[1]["r"] == "x\ny"
+
+
+def test_csv_keeps_outer_blanks(spark, tmp_path):
+    from billweave.sinks.csv_files import write_csv
+    from billweave.sources.files import read_csv_report
+
+    texts = ["  lead and trail  ", "a\ttab\t", 'say ""twice""', "plain"]
+    write_csv(spark.createDataFrame([(t,) for t in texts], "t string"), str(tmp_path / "out"))
+    assert sorted(r.t for r in read_csv_report(spark, str(tmp_path / "out")).collect()) == sorted(texts)
+
+
+def test_event_objects_of_any_depth_and_between_braces(spark):
+    from billweave.sources.event_logs import event_records
+
+    deep = '{"_file":"deep","product":' + '{"a":' * 8 + "1" + "}" * 8 + "}"
+    log = [deep, '{"value": ' + deep + "}", 'INFO {job {"value": {"_file": "kept", "_line": 1.50}} } end', None, "none {}"]
+    rows = event_records(spark.createDataFrame([(t,) for t in log], "value string")).collect()
+    assert sorted(r["_file"] for r in rows) == ["deep", "deep", "kept"]
+    assert {r["_line"] for r in rows} == {None, "1.50"}
+    with pytest.raises(Exception, match="separator"):
+        event_records(spark.createDataFrame([('{"_file": "cut", ',)], "value string")).collect()
