@@ -25,14 +25,25 @@ from billweave.operators.names import (  # noqa: E402
 )
 from billweave.operators.overview import daily_overview  # noqa: E402
 from billweave.operators.rollups import daily_instance_report, daily_product_report  # noqa: E402
+from billweave.plans.marts import DailyTables, build_tables, check_tables  # noqa: E402
 from billweave.schema import landing_schema  # noqa: E402
 from billweave.session import prepare, scratch_path  # noqa: E402
 from billweave.sinks.catalogs import CatalogTarget  # noqa: E402
 from billweave.sinks.csv_files import write_csv  # noqa: E402
-from billweave.sinks.tables import append_batch, create_if_absent, sample_table  # noqa: E402
+from billweave.sinks.tables import (  # noqa: E402
+    append_batch,
+    count_rows,
+    create_if_absent,
+    drop_table,
+    replace_table,
+    sample_table,
+    truncate_table,
+    write_probe,
+)
 from billweave.sources.event_logs import coerce_records, event_records  # noqa: E402
-from billweave.sources.files import read_csv_report  # noqa: E402
+from billweave.sources.files import read_csv_report, read_parquet_report, register_csv_folder  # noqa: E402
 from billweave.sources.star_schema import raw_report  # noqa: E402
+from billweave.sources.tables import ReportSource, read_report_table  # noqa: E402
 from billweave.streaming.ingest import RawTable, ingest, landed_files  # noqa: E402
 from billweave.streaming.refresh import DailyRefresh  # noqa: E402
 
@@ -80,6 +91,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "append_readback": _append_readback,
         "event_envelopes": _event_envelopes,
         "stream_ingest_marts": _stream_ingest_marts,
+        "written_overview": lambda s, d: _written(s, d).overview,
+        "written_product_report": lambda s, d: _written(s, d).product,
+        "written_instance_report": lambda s, d: _written(s, d).instance,
+        "table_checks": _table_checks,
+        "parquet_folder": _parquet_folder,
+        "csv_folder": _csv_folder,
+        "catalog_table": _catalog_table,
+        "table_lifecycle": _table_lifecycle,
     }
     if corpus_pipeline is not None:
         found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
@@ -145,10 +164,65 @@ def _append_readback(spark: SparkSession, folder: str) -> DataFrame:
     records = coerce_records(raw_report(spark, folder), bad_values="null")
     append_batch(records.filter("bill_bill_type = 'Refund'"), name)
     append_batch(records.filter("bill_bill_type <> 'Refund'"), name)
-    return spark.table(name).select(
-        "_file", "_line", "_modified", "bill_bill_type", "bill_invoice_id",
-        "bill_billing_period_start_date", "line_item_unblended_cost", "line_item_usage_amount",
+    return spark.table(name)
+
+
+def _written(spark: SparkSession, folder: str) -> DailyTables:
+    """All tables of a production run, in a new namespace of the session catalog."""
+    return build_tables(raw_report(spark, folder), CatalogTarget("builtin", f"daily_{uuid.uuid4().hex}"))
+
+
+def _table_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of the written tables, after their data tests have passed."""
+    tables = _written(spark, folder)
+    problems = check_tables(tables)
+    if problems:
+        raise AssertionError("; ".join(problems))
+    return checks.row_counts(tables.named())
+
+
+def _parquet_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """The report out to Parquet files in folders of different depth, and back in as one relation."""
+    path, raw = scratch_path(spark, "parquet-report"), raw_report(spark, folder)
+    raw.filter(F.col("bill_bill_type") == "Refund").write.parquet(f"{path}/refunds")
+    raw.filter(F.col("bill_bill_type") != "Refund").write.parquet(f"{path}/others/all/of/them")
+    return read_parquet_report(spark, path)
+
+
+def _csv_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Two CSV files of a folder as views; blanks come back as NULL."""
+    path, raw, run = scratch_path(spark, "csv-report"), raw_report(spark, folder), uuid.uuid4().hex
+    write_csv(raw.filter(F.col("bill_bill_type") == "Refund"), f"{path}/refunds_{run}.csv")
+    write_csv(raw.filter(F.col("bill_bill_type") != "Refund"), f"{path}/others_{run}.csv")
+    first, second = register_csv_folder(spark, path, [f"refunds_{run}.csv", f"others_{run}.csv"])
+    return spark.table(first).unionByName(spark.table(second))
+
+
+def _catalog_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Staging from a raw table that the environment names."""
+    table = f"report_{uuid.uuid4().hex}"
+    replace_table(raw_report(spark, folder), SESSION_CATALOG, table, location=scratch_path(spark, table))
+    source = ReportSource.from_environment(
+        {"COST_SOURCE_CATALOG": "spark_catalog", "COST_SOURCE_SCHEMA": "default", "COST_SOURCE_TABLE": table}
     )
+    return staging.stage_report(read_report_table(spark, source))
+
+
+def _table_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
+    """Row counts of a table that is filled, truncated, filled with the refunds, and dropped."""
+    table = f"lifecycle_{uuid.uuid4().hex}"
+    name = create_if_absent(spark, SESSION_CATALOG, table, landing_schema())  # no path: only own tables are truncated
+    records = coerce_records(raw_report(spark, folder), bad_values="null")
+    counts = [("appended", append_batch(records, name))]
+    truncate_table(spark, name)
+    counts.append(("after truncate", count_rows(spark.table(name))))
+    counts.append(("refunds", append_batch(records.filter("bill_bill_type = 'Refund'"), name)))
+    drop_table(spark, name)
+    counts.append(("tables after drop", int(spark.catalog.tableExists(name))))
+    probe = f"probe_{uuid.uuid4().hex}"
+    counts.append(("probe", count_rows(write_probe(spark, SESSION_CATALOG, probe))))
+    drop_table(spark, SESSION_CATALOG.table_name(probe))
+    return spark.createDataFrame(counts, "step string, n_rows long")
 
 
 def _event_envelopes(spark: SparkSession, folder: str) -> DataFrame:

@@ -44,7 +44,7 @@ lines as (
   from lineitem join nation on l_suppkey % 25 = n_nationkey
 ),
 raw as (select
-  {_listed(f"{FILLED_COLUMNS.get(c, repr(''))} as {c}" for c in REPORT_COLUMNS)}
+  {_listed(f"{FILLED_COLUMNS[c]} as {c}" for c in REPORT_COLUMNS)}
   from lines
 )"""
 
@@ -130,6 +130,17 @@ def _rollup(dimensions, counts) -> str:
 select *, {_key(dimensions)} from rolled"""
 
 
+def _landed(column: str) -> str:
+    """A report column as ingest stores it: texts as they are, fractions of whole numbers cut off."""
+    cast = {
+        "text": "{0}",
+        "time": "try_cast({0} as timestamp)",
+        "int": "try_cast(trunc(try_cast({0} as double)) as bigint)",
+        "number": "try_cast({0} as double)",
+    }
+    return f"{cast[REPORT_KINDS[column]].format(column)} as {column}"
+
+
 def _cast_failures() -> str:
     judged = [c for c in REPORT_COLUMNS if REPORT_KINDS[c] != "text"]
     counts = [
@@ -170,13 +181,7 @@ union all select 'staging', count(*) from staging
 union all select 'overview', count(*) from overview""",
         "restamped_report": f"""{_staging(_modified=repr(RESTAMPED_AT))} select * from staging""",
         "ctas_sample": f"with {RAW} select _file, _line from raw order by _file, _line limit 10",
-        "append_readback": f"""with {RAW}
-select _file, cast(cast(_line as double) as bigint) as _line, cast(_modified as timestamp) as _modified,
-  bill_bill_type, try_cast(bill_invoice_id as bigint) as bill_invoice_id,
-  cast(bill_billing_period_start_date as timestamp) as bill_billing_period_start_date,
-  try_cast(line_item_unblended_cost as double) as line_item_unblended_cost,
-  try_cast(line_item_usage_amount as double) as line_item_usage_amount
-from raw""",
+        "append_readback": f"with {RAW} select {_listed(map(_landed, REPORT_COLUMNS))} from raw",
         "event_envelopes": """select event_type as _file, event_id as _line,
   ts - interval 2 hour as _modified,
   make_timestamp((1700000000000 + event_id) * 1000) as _fivetran_synced,
@@ -184,4 +189,19 @@ from raw""",
   props as product
 from events""",
         "stream_ingest_marts": product,
+        "written_overview": f"{OVERVIEW} select * from overview",
+        "written_product_report": product,
+        "written_instance_report": _rollup(INSTANCE_DIMENSIONS, INSTANCE_COUNTS),
+        "table_checks": f"""select 'daily_overview' as table_name, count(*) as n_rows from ({OVERVIEW} select * from overview)
+union all select 'daily_product_report', count(*) from ({product})
+union all select 'daily_instance_report', count(*) from ({_rollup(INSTANCE_DIMENSIONS, INSTANCE_COUNTS)})""",
+        "parquet_folder": f"with {RAW} select * from raw",
+        "csv_folder": f"with {RAW} select {_listed(f"nullif({c}, '') as {c}" for c in REPORT_COLUMNS)} from raw",
+        "catalog_table": f"{_staging()} select * from staging",
+        "table_lifecycle": f"""with {RAW}
+select 'appended' as step, count(*) as n_rows from raw
+union all select 'after truncate', 0
+union all select 'refunds', count(*) from raw where bill_bill_type = 'Refund'
+union all select 'tables after drop', 0
+union all select 'probe', 1""",
     }
