@@ -1,8 +1,8 @@
 """Personal data [op 1]: labelers vote on candidate spans, expectation-maximisation weighs them, a classifier decides.
 
-1. Candidates are found in whole texts: the base kinds (email, ip, card, phone) and looser forms of them
-   (an address spelled with "at" and "dot", digits written like a phone number without its plus sign, digit
-   groups of card length, any other run of nine or more digits).
+1. Candidates are found in whole texts: matches of the base kinds (email, ip, card, phone), those that fail
+   their check included, and looser forms (an address spelled with "at" and "dot" in brackets, digits written
+   like a phone number without its plus sign).
 2. Labelers vote yes, no or nothing on each candidate: its pattern, its check digit or range, a gazetteer of
    mail domains, number prefixes, and words of context before the span.
 3. Votes are counted per combination (at most 3 to the power of the number of labelers, times the kinds).
