@@ -14,6 +14,8 @@ from billweave.session import scratch_path
 # ASCII white space, as regular expression and as characters.
 SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
+# A key with at least this share of all rows is hot.
+MOST_HOT = 1000
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -65,6 +67,19 @@ def partitions_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def split_join(rows: DataFrame, counted: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """``rows`` joined with ``counted``: one stored row per ``key``, with the number ``n`` of rows that have it.
+
+    Keys with at least a thousandth of all these rows, so at most ``MOST_HOT`` of them, are broadcast, and their
+    rows stay where they are; the others are shuffled. So a key with a third of all rows is not one task's work.
+    """
+    total = counted.agg(F.sum(n)).first()[0] or 0
+    is_hot = F.col(n) * MOST_HOT >= total
+    hot = F.broadcast(counted.filter(is_hot))
+    others = rows.join(hot.select(key), key, "left_anti").join(counted.filter(~is_hot), key)
+    return rows.join(hot, key).unionByName(others)
+
+
 def pieces(
     batches: Iterator[pa.RecordBatch], column: str, limit: int, rows: int = 1 << 30
 ) -> Iterator[pa.RecordBatch]:

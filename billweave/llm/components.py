@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
+# Parts that the edges of one node are dealt into.
+SALTS = 32
+
 
 def components(pairs: DataFrame) -> DataFrame:
     """``pairs`` (a, b) to (node, root): the smallest number each node is connected with. Lone nodes are left out.
@@ -36,9 +39,19 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    """Links each node's larger neighbours to its smallest neighbour, or to itself if it has no smaller one.
+
+    Only nodes in the middle, with neighbours of both kinds, take part in the join; once stars are found there
+    are none. The other side is dealt by node and salt, so that the centre of a large star is split.
+    """
+    middle = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "b").join(
+        edges.select("b").distinct(), "b", "left_semi"
+    )
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int"))
+    return salted.join(middle.select("b", "m", salts), ["b", "salt"], "left").select(
+        "a", F.coalesce("m", "b").alias("b")
+    ).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, own_columns, partitions_for, pieces, stored, text_of, unpacked
+from .common import ROW, own_columns, partitions_for, pieces, split_join, stored, text_of, unpacked
 from .components import components
 
 SHINGLE = 5
@@ -312,7 +312,8 @@ def _results(docs: DataFrame) -> DataFrame:
     grouped = stored(groups.join(known, "text_id"), "jaccard-groups")
     sizes = grouped.groupBy("group").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all_shingles"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("all_shingles") / BLOCK_SHINGLES)).cast("int")
-    placed = grouped.join(sizes.select("group", blocks.alias("blocks")), "group").withColumn(
+    sizes = stored(sizes.select("group", "n", blocks.alias("blocks")), "jaccard-sizes")
+    placed = split_join(grouped, sizes, "group").withColumn(
         "block", F.pmod(F.xxhash64("text_id", F.lit(1)), "blocks").cast("int")
     )
     # The one row of each text that stands for it; so the shuffle is not by text alone.
@@ -334,9 +335,9 @@ def _results(docs: DataFrame) -> DataFrame:
 
 
 def _firsts(of_text: DataFrame) -> DataFrame:
-    """Of each class, its smallest doc_id and that document's text."""
-    return of_text.groupBy("root").agg(F.min(F.struct("first_id", "text_id")).alias("least")).select(
-        "root", F.col("least.first_id").alias("class_id"), F.col("least.text_id").alias("class_text")
+    """Of each class, its number of texts, its smallest doc_id and that document's text."""
+    return of_text.groupBy("root").agg(F.min(F.struct("first_id", "text_id")).alias("least"), F.count("*").alias("n")).select(
+        "root", "n", F.col("least.first_id").alias("class_id"), F.col("least.text_id").alias("class_text")
     )
 
 
@@ -347,7 +348,7 @@ def join(docs: DataFrame) -> DataFrame:
     smallest doc_id it is connected with by links; n_links: other documents linked with it, equal ones too.
     """
     of_text = _results(docs)
-    named = of_text.join(_firsts(of_text), "root")
+    named = split_join(of_text, stored(_firsts(of_text), "jaccard-firsts"), "root")
     return (
         _identified(docs)
         .select("doc_id", "text_id")
