@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, own_columns, pieces, stored, text_of, unpacked
+from .common import ROW, own_columns, pieces, split_join, stored, text_of, unpacked
 
 GRAM_WORDS = 25
 SURE_WORDS = 50
@@ -121,7 +121,7 @@ def repeated_lines(rows: DataFrame) -> DataFrame:
     ).select("doc_id", "row_key", F.col("g.grams").alias("gram"), F.col("g.places").alias("place"))
     here = F.struct("doc_id", "row_key", "place")
     firsts = grams.groupBy("gram").agg(F.min(here).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    matches = grams.join(firsts.drop("n"), "gram").filter(~here.eqNullSafe(F.col("first")))
+    matches = split_join(grams, stored(firsts, "line-firsts"), "gram").filter(~here.eqNullSafe(F.col("first")))
     pairs = (
         matches
         .groupBy("doc_id", "row_key", F.col("first.doc_id").alias("first_id"), F.col("first.row_key").alias("first_key"))
