@@ -202,12 +202,12 @@ def _common_by_matrix(sets: list[np.ndarray], left: np.ndarray, right: np.ndarra
     return np.round(product[left, right]).astype(np.int64)
 
 
-def _unit_rows(unit: list[tuple]) -> list[tuple[int, int, int | None]]:
-    """(text_id, links, root) for the texts of one unit: (text_id, copies, second block, values, set)."""
+def _unit_rows(unit: list[tuple], one: int, two: int) -> list[tuple[int, int, int | None]]:
+    """(text_id, links, root) for the texts of a unit of two blocks: (text_id, copies, second block, values, set)."""
     ids = [u[0] for u in unit]
     copies = np.asarray([u[1] for u in unit])
     second = np.asarray([u[2] for u in unit])
-    if second.all() or not second.any():
+    if one == two:
         left, right = np.triu_indices(len(unit), 1)
     else:
         left, right = (a.ravel() for a in np.meshgrid(np.flatnonzero(~second), np.flatnonzero(second), indexing="ij"))
@@ -278,9 +278,9 @@ def _links(units: DataFrame) -> DataFrame:
                     values = np.frombuffer(blobs[0][i].as_py(), np.uint32)
                     yield (group, one, two), (name, copies, second, values, np.frombuffer(blobs[1][i].as_py(), np.uint64))
 
-        for _, rows in itertools.groupby(every(), lambda r: r[0]):
+        for (_, one, two), rows in itertools.groupby(every(), lambda r: r[0]):
             unit = {r[1][0]: r[1] for r in rows}  # a repeated row is there once
-            found = _unit_rows(list(unit.values()))
+            found = _unit_rows(list(unit.values()), one, two)
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([f[i] for f in found], pa.int64()) for i in range(3)], ["text_id", "links", "root"]

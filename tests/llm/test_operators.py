@@ -240,6 +240,19 @@ def test_jaccard_join(docs, monkeypatch):
     assert jaccard_join.join(_empty(docs)).count() == 0
 
 
+def test_jaccard_join_with_empty_blocks(spark, monkeypatch):
+    # A group has far more blocks than texts here.
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 40)
+    texts = []
+    for g in range(4):
+        words = [f"g{g}w{k}" for k in range(100)]
+        texts += [" ".join([*words[:at], "changed", *words[at + 1 :]]) for at in range(g + 2)]
+    rows = jaccard_join.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    want = {i: sum(i != k and len(a & b) >= 0.8 * len(a | b) for k, b in enumerate(sets)) for i, a in enumerate(sets)}
+    assert {r.doc_id: r.n_links for r in rows} == want and min(want.values()) == 1
+
+
 def test_pruning_keeps_pairs_at_the_threshold():
     least = jaccard_join.least_matches()
     assert all(0 < least[k] < 0.8 * k for k in least)
