@@ -10,6 +10,11 @@ however many there are. A match is extended line by line both ways, and the line
 covers are deleted. A text can match an earlier place of its own. What is deleted always stands in an earlier
 line run; the first occurrence of a run stays.
 
+The first occurrence of a fingerprint may stand in other lines than that of the run around it. So windows whose
+fingerprint repeats are joined with their own first occurrence too, by a hash of the whole window, and each later
+one is deleted. From every line a window goes on, and up to every line one leads; together they cover every run
+of ``SURE_WORDS`` words in whole lines, so each such run that stands earlier is deleted, whatever was matched.
+
 Defined results: a NULL text stays NULL, and matches nothing. Rows that are equal in doc_id and text are one
 document: both stay as they are, or lose the same lines. A NULL doc_id comes first. Empty tables give empty
 results; all columns of the input are kept, whatever their names.
@@ -31,7 +36,8 @@ from .common import ROW, own_columns, pieces, split_join, stored, text_of, unpac
 GRAM_WORDS = 25
 SURE_WORDS = 50
 SLICE_BYTES = 8_000_000
-_FOUND = "doc_id long, row_key long, hashes binary, grams array<long>, places array<int>"
+_FOUND = "doc_id long, row_key long, hashes binary, words array<int>, grams array<long>, places array<int>"
+_WINDOWS = "doc_id long, row_key long, window long, begin int, end int"
 
 
 def lines_of(text: str) -> list[tuple[int, str]]:
@@ -51,14 +57,15 @@ def _ends(words: list[int], least: int) -> list[int]:
     return out
 
 
-def fingerprints(text: str) -> tuple[bytes, list[int], list[int]]:
-    """Line hashes, and the selected grams with their first lines."""
-    lines = [line.encode() for _, line in lines_of(text)]
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, lines), np.uint64, len(lines)).tobytes()
-    words = [len(line.split()) for line in lines]
+def _signed(number: int) -> int:
+    return number - (1 << 64) if number >> 63 else number
+
+
+def _selected(hashes: bytes, words: list[int]) -> tuple[list[int], list[int]]:
+    """Grams (hashes, by first line), and for each line from which a window goes on, the place of its gram."""
     gram_end, sure_end = _ends(words, GRAM_WORDS), _ends(words, SURE_WORDS)
     grams = [xxhash.xxh64_intdigest(hashes[8 * i : 8 * e]) if e else 0 for i, e in enumerate(gram_end)]
-    chosen: dict[int, int] = {}
+    chosen: list[int] = []
     window: deque[int] = deque()
     ahead = 0
     for i, end in enumerate(sure_end):
@@ -71,8 +78,30 @@ def fingerprints(text: str) -> tuple[bytes, list[int], list[int]]:
             ahead += 1
         while window[0] < i:
             window.popleft()
-        chosen[window[0]] = grams[window[0]]
-    return hashes, [g - (1 << 64) if g >> 63 else g for g in chosen.values()], list(chosen)
+        chosen.append(window[0])
+    return grams, chosen
+
+
+def fingerprints(text: str) -> tuple[bytes, list[int], list[int], list[int]]:
+    """Line hashes, words per line, and the selected grams with their first lines."""
+    lines = [line.encode() for _, line in lines_of(text)]
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, lines), np.uint64, len(lines)).tobytes()
+    words = [len(line.split()) for line in lines]
+    grams, chosen = _selected(hashes, words)
+    places = list(dict.fromkeys(chosen))
+    return hashes, words, [_signed(grams[p]) for p in places], places
+
+
+def windows(hashes: bytes, words: list[int], places: set[int]) -> list[tuple[int, int, int]]:
+    """Hash, first line and end of the windows that can repeat: whose gram, at one of ``places``, does."""
+    _, chosen = _selected(hashes, words)
+    found = {(i, end) for i, (end, gram) in enumerate(zip(_ends(words, SURE_WORDS), chosen, strict=False)) if gram in places}
+    # The window that leads up to a line holds the one that goes on from its own first line.
+    for i, end in enumerate(_ends(words[::-1], SURE_WORDS)):
+        begin = len(words) - end
+        if end and begin < len(chosen) and chosen[begin] in places:
+            found.add((begin, len(words) - i))
+    return [(_signed(xxhash.xxh64_intdigest(hashes[8 * b : 8 * e])), b, e) for b, e in sorted(found)]
 
 
 def _line_table(rows: DataFrame) -> DataFrame:
@@ -84,10 +113,11 @@ def _line_table(rows: DataFrame) -> DataFrame:
                     batch.column("doc_id"),
                     batch.column("row_key"),
                     pa.array([f[0] for f in found], pa.binary()),
-                    pa.array([f[1] for f in found], pa.list_(pa.int64())),
-                    pa.array([f[2] for f in found], pa.list_(pa.int32())),
+                    pa.array([f[1] for f in found], pa.list_(pa.int32())),
+                    pa.array([f[2] for f in found], pa.list_(pa.int64())),
+                    pa.array([f[3] for f in found], pa.list_(pa.int32())),
                 ],
-                ["doc_id", "row_key", "hashes", "grams", "places"],
+                ["doc_id", "row_key", "hashes", "words", "grams", "places"],
             )
 
     return rows.select("doc_id", "row_key", "text").mapInArrow(run, _FOUND)
@@ -113,6 +143,36 @@ def extended(later: np.ndarray, earlier: np.ndarray, seeds: list[tuple[int, int]
     return sorted(covered)
 
 
+def _window_table(table: DataFrame, occurrences: DataFrame) -> DataFrame:
+    """The windows that can repeat: those whose gram is one of ``occurrences``, the first one's too."""
+    held = occurrences.groupBy(F.col("doc_id").alias("o_id"), "row_key").agg(F.collect_set("place").alias("repeated"))
+    both = (
+        held.join(table.select("doc_id", "row_key", "hashes", "words"), "row_key")
+        .filter(F.col("o_id").eqNullSafe(F.col("doc_id")))
+        .select("doc_id", "row_key", "hashes", "words", "repeated")
+        .dropDuplicates(["doc_id", "row_key"])
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "hashes", SLICE_BYTES):
+            columns = [batch.column(c).to_pylist() for c in ("hashes", "words", "repeated")]
+            found = [windows(h, w, set(p)) for h, w, p in zip(*columns, strict=True)]
+            row = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            flat = [w for f in found for w in f]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(row),
+                    batch.column("row_key").take(row),
+                    pa.array([w[0] for w in flat], pa.int64()),
+                    pa.array([w[1] for w in flat], pa.int32()),
+                    pa.array([w[2] for w in flat], pa.int32()),
+                ],
+                ["doc_id", "row_key", "window", "begin", "end"],
+            )
+
+    return both.mapInArrow(run, _WINDOWS)
+
+
 def repeated_lines(rows: DataFrame) -> DataFrame:
     """Of texts that repeat something: doc_id, row_key and the numbers of their lines (with a word) to delete."""
     table = stored(_line_table(rows), "line-fingerprints")
@@ -121,7 +181,8 @@ def repeated_lines(rows: DataFrame) -> DataFrame:
     ).select("doc_id", "row_key", F.col("g.grams").alias("gram"), F.col("g.places").alias("place"))
     here = F.struct("doc_id", "row_key", "place")
     firsts = grams.groupBy("gram").agg(F.min(here).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    matches = split_join(grams, stored(firsts, "line-firsts"), "gram").filter(~here.eqNullSafe(F.col("first")))
+    occurrences = split_join(grams, stored(firsts, "line-firsts"), "gram")
+    matches = occurrences.filter(~here.eqNullSafe(F.col("first")))
     pairs = (
         matches
         .groupBy("doc_id", "row_key", F.col("first.doc_id").alias("first_id"), F.col("first.row_key").alias("first_key"))
@@ -155,7 +216,17 @@ def repeated_lines(rows: DataFrame) -> DataFrame:
             )
 
     covered = both.mapInArrow(run, "doc_id long, row_key long, lines array<int>")
-    return covered.groupBy("doc_id", "row_key").agg(F.flatten(F.collect_set("lines")).alias("lines"))
+    windows_ = stored(_window_table(table, occurrences), "line-windows")
+    begin = F.struct("doc_id", "row_key", "begin")
+    first_windows = windows_.groupBy("window").agg(F.min(begin).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    again = (
+        split_join(windows_, stored(first_windows, "line-first-windows"), "window")
+        .filter(~begin.eqNullSafe(F.col("first")))
+        .select("doc_id", "row_key", F.sequence("begin", F.col("end") - 1).alias("lines"))
+    )
+    return covered.unionByName(again).groupBy("doc_id", "row_key").agg(
+        F.array_distinct(F.flatten(F.collect_set("lines"))).alias("lines")
+    )
 
 
 def without_lines(text: str, drop: set[int]) -> str:

@@ -214,6 +214,27 @@ def test_line_dedup(docs):
     assert line_dedup.dedup(_empty(docs)).count() == 0
 
 
+def test_line_dedup_deletes_every_long_run(spark):
+    rng = random.Random(8)
+    lines = [" ".join(f"l{k}w{i}" for i in range(rng.choice([3, 8, 26, 30, 60]))) for k in range(25)]
+    texts = [line for line in lines if len(line.split()) == 26]  # alone first, then in runs
+    for _ in range(60):
+        at = rng.randint(0, 20)
+        texts.append("\n".join([*rng.choices(lines, k=2), *lines[at : at + 4], *rng.choices(lines, k=2)]))
+    got = line_dedup.dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    seen = set()
+    for r in sorted(got, key=lambda r: r.doc_id):
+        own = texts[r.doc_id].split("\n")
+        for b in range(len(own)):
+            for e in range(b + 1, len(own) + 1):
+                run = tuple(own[b:e])
+                if sum(len(line.split()) for line in run) >= 50:
+                    if run in seen:
+                        own_left = r.text.split("\n")
+                        assert not any(line in own_left and own.count(line) == 1 for line in run), (r.doc_id, b, e)
+                    seen.add(run)
+
+
 def test_jaccard_join(docs, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK_TEXTS", 2)
     rows = jaccard_join.join(docs).collect()
