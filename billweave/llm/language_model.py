@@ -7,7 +7,7 @@ texts that are not held out:
 * seen bigram: (1 - b) * count(context, token) / count(context);
 * unseen after a known context: b * p1(token); after an unknown one: p1(token);
 * p1 is the add-one unigram probability. b is the Witten-Bell share of the context, the number of its
-  successors over that number plus its count; a fixed share for the contexts that are split (below).
+  successors over that number plus its count.
 
 No part of the model is gathered in one place. Bigrams of all texts, counted per text, are shuffled once by
 context. A shard first adds up its training counts and builds its trie: contexts as a sorted level, monotone
@@ -16,8 +16,8 @@ Elias-Fano coded or memory-mapped. Then it looks up the bigrams of its texts: th
 the token by a search relative to the context's range. Unseen tokens are joined with the unigram table.
 
 Contexts with at least a thousandth of all tokens (so at most ``MOST_SPLIT``) are split: their bigrams are
-dealt by context and token, and their counts, known from the unigram pass, are broadcast. A shard's rows are
-spooled to an unnamed temporary file, so even a bigram that is in every text needs little memory.
+dealt by context and token. Their counts, known from the unigram pass, and their numbers of successors, counted
+by a pass of their own over distinct bigrams, are broadcast. A shard's rows are spooled to an unnamed temporary file, so even a bigram that is in every text needs little memory.
 
 Defined results: a NULL or empty text is one end token. Repeated rows are each scored, and learned from, as
 rows of their own. A NULL doc_id is not held out. Without training texts all counts are 0. Empty tables give
@@ -45,8 +45,6 @@ from .elias_fano import EliasFano, find_within, mapped
 
 # A context with at least this share of all tokens is split over shards.
 MOST_SPLIT = 1000
-# Back-off share of contexts that are split.
-SPLIT_BACKOFF = 0.3
 SHARD_TOKENS = 3_000_000
 SLICE_BYTES = 6_000_000
 SPOOL_BYTES = 40_000_000
@@ -89,11 +87,11 @@ def unigram_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def _sliced_bigrams(batch: pa.RecordBatch, split: set[int], shards: int) -> Iterator[tuple]:
-    """The bigrams of one slice, as one row of arrays for each shard."""
+def _coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed words, tokens per text, and the contexts and tokens of all texts in a row, as places in the words."""
     numbers: defaultdict[bytes, int] = defaultdict(itertools.count(2).__next__)
     number = numbers.__getitem__
-    coded = [list(map(number, tokens_of(t))) for t in batch.column("text").to_pylist()]
+    coded = [list(map(number, tokens_of(t))) for t in texts]
     words = np.empty(len(numbers) + 2, np.uint64)
     words[:2] = BEGIN, END
     words[2:] = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, len(numbers))
@@ -101,11 +99,34 @@ def _sliced_bigrams(batch: pa.RecordBatch, split: set[int], shards: int) -> Iter
     token = np.fromiter(itertools.chain.from_iterable(itertools.chain(c, (1,)) for c in coded), np.int64, int(lengths.sum()))
     context = np.r_[np.int64(0), token[:-1]]
     context[np.cumsum(lengths) - lengths] = 0
-    doc = np.repeat(np.arange(len(coded)), lengths)
-    keys = np.sort((context * len(words) + token) * len(coded) + doc)
+    return words, lengths, context, token
+
+
+def split_successors(docs: DataFrame, split: list[int]) -> dict[int, int]:
+    """How many distinct tokens follow each of the ``split`` contexts (at most ``MOST_SPLIT`` and one) in training texts."""
+    place = {word: k for k, word in enumerate(split)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text", SLICE_BYTES):
+            words, _, context, token = _coded(batch.column("text").to_pylist())
+            at = np.asarray([place.get(w, -1) for w in words.tolist()])[context]
+            here = at >= 0
+            pairs = np.unique((at[here].astype(np.uint64) << np.uint64(48)) | _short(words)[token[here]])
+            yield pa.RecordBatch.from_arrays([_signed(pairs)], ["pair"])
+
+    pairs = docs.filter("not held_out").select("text").mapInArrow(run, "pair long").distinct()
+    counts = pairs.groupBy(F.shiftrightunsigned("pair", 48).alias("at")).agg(F.count("*").alias("n")).collect()
+    return {split[r["at"]]: r["n"] for r in counts}
+
+
+def _sliced_bigrams(batch: pa.RecordBatch, split: set[int], shards: int) -> Iterator[tuple]:
+    """The bigrams of one slice, as one row of arrays for each shard."""
+    words, lengths, context, token = _coded(batch.column("text").to_pylist())
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    keys = np.sort((context * len(words) + token) * len(lengths) + doc)
     begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     times = np.diff(np.r_[begin, len(keys)])
-    pair, doc = np.divmod(keys[begin], len(coded))
+    pair, doc = np.divmod(keys[begin], len(lengths))
     first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
     n_docs = np.diff(np.r_[first, len(pair)])
     held = np.asarray(batch.column("held_out").to_pylist(), bool)
@@ -145,11 +166,12 @@ def _sliced_bigrams(batch: pa.RecordBatch, split: set[int], shards: int) -> Iter
 class Shard:
     """The trie of a shard's contexts."""
 
-    def __init__(self, contexts: np.ndarray, tokens: np.ndarray, counts: np.ndarray, known: dict[int, int]):
-        """Bigrams (48 bits of each word) with training counts, in any order, with repeats; ``known``: split contexts' counts."""
+    def __init__(self, contexts: np.ndarray, tokens: np.ndarray, counts: np.ndarray, known: dict[int, tuple[int, int]]):
+        """Bigrams (48 bits of each word) with training counts, in any order, with repeats; ``known``: the counts and
+        numbers of successors of split contexts, over all shards."""
         contexts, tokens, counts = (a[counts > 0] for a in (contexts, tokens, counts))
         # A split context is known even where none of its training bigrams is.
-        split = np.fromiter((c >> 16 for c, n in known.items() if n), np.uint64)
+        split = np.fromiter((c >> 16 for c, (n, _) in known.items() if n), np.uint64)
         found = np.union1d(contexts, split)
         owner = np.searchsorted(found, contexts)
         keys = (owner.astype(np.uint64) << np.uint64(32)) | (tokens >> np.uint64(16))
@@ -161,9 +183,10 @@ class Shard:
         owner = (keys >> np.uint64(32)).astype(np.int64)
         successors = np.bincount(owner, minlength=len(found))
         totals = np.bincount(owner, counts, minlength=len(found))
-        backoff = successors / np.maximum(successors + totals, 1)
+        kinds = successors.copy()
         at = np.searchsorted(found, split)
-        totals[at], backoff[at] = [n for n in known.values() if n], SPLIT_BACKOFF
+        totals[at], kinds[at] = [n for n, _ in known.values() if n], [k for n, k in known.values() if n]
+        backoff = kinds / np.maximum(kinds + totals, 1)
         self.contexts = EliasFano(found, (1 << 48) - 1)
         self.pointers = EliasFano(np.r_[0, np.cumsum(successors)], len(keys))
         self.tokens = mapped((keys & np.uint64(0xFFFFFFFF)).astype(np.uint32))
@@ -218,7 +241,7 @@ def _unpacked(row: dict, but: tuple[str, ...] = ()) -> dict:
     return out | {"doc_ids": pickle.loads(row["doc_ids"]), "row_keys": np.frombuffer(row["row_keys"], np.int64)}
 
 
-def _shard_parts(rows: Iterator[dict], known: dict[int, int], log_p1: dict[int, float]) -> Iterator[pa.RecordBatch]:
+def _shard_parts(rows: Iterator[dict], known: dict[int, tuple[int, int]], log_p1: dict[int, float]) -> Iterator[pa.RecordBatch]:
     """Sums per text of one shard's bigrams; unseen tokens that need the unigram table are rows of their own."""
     with tempfile.SpooledTemporaryFile(SPOOL_BYTES) as spool:
         contexts, tokens, counts, n_rows = [], [], [], 0
@@ -297,9 +320,11 @@ def score(docs: DataFrame) -> DataFrame:
         for r in unigrams.filter(F.col("n") * MOST_SPLIT >= n).orderBy(F.desc("n")).limit(MOST_SPLIT).collect()
     }
     log_p1 = {w: math.log10(c + 1) - log_all for w, c in common.items()} | {END: math.log10(n_texts + 1) - log_all}
-    known = common | {BEGIN: n_texts}
+    counts = common | {BEGIN: n_texts}
+    split = set(counts)
+    successors = split_successors(rows, list(counts))
+    known = {word: (count, successors.get(word, 0)) for word, count in counts.items()}
     shards = max(1, math.ceil(n / SHARD_TOKENS))
-    split = set(known)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", SLICE_BYTES, _SLICE_ROWS):

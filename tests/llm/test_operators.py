@@ -315,3 +315,30 @@ def test_language_model(docs, monkeypatch, shard_tokens):
     got = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in rows)
     assert got == sorted(want) and all(r.score < 0 for r in rows)
     assert language_model.score(_empty(docs)).count() == 0
+
+
+@pytest.mark.parametrize("most_split", [1, 1000])
+def test_language_model_has_one_formula(docs, monkeypatch, most_split):
+    monkeypatch.setattr(language_model, "MOST_SPLIT", most_split)
+    monkeypatch.setattr(language_model, "SHARD_TOKENS", 300)
+    texts = [(n, t.encode().lower().split()) for n, t in _all(docs)]
+    held = [n is not None and zlib.crc32(str(n).encode()) % 7 == 2 for n, _ in texts]
+    ones, pairs = {}, {}
+    for (_, words), out in zip(texts, held, strict=True):
+        for context, token in [] if out else zip([b" begin", *words], [*words, b" end"], strict=True):
+            ones[token] = ones.get(token, 0) + 1
+            own = pairs.setdefault(context, {})
+            own[token] = own.get(token, 0) + 1
+    n, v = sum(ones.values()), len(ones)
+
+    def log_p(context, token):
+        own = pairs.get(context, {})
+        kinds, total = len(own), sum(own.values())
+        if token in own:
+            return np.log10(total / (kinds + total) * own[token] / total)
+        return np.log10((kinds / (kinds + total) if own else 1) * (ones.get(token, 0) + 1) / (n + v + 1))
+
+    want = sorted((str(i), sum(map(log_p, [b" begin", *w], [*w, b" end"])), len(w) + 1) for i, w in texts)
+    got = sorted((str(r.doc_id), r.score) for r in language_model.score(docs).collect())
+    for (i, score, tokens), (name, found) in zip(want, got, strict=True):
+        assert i == name and abs(score - found) <= 1e-4 * tokens + 1e-6
