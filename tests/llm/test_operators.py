@@ -183,6 +183,14 @@ def test_fingerprints(docs):
     assert fingerprints.likeness(one, two) > 0.8
 
 
+def test_fingerprints_hold_all_names():
+    rng = random.Random(6)
+    one, two, shared = ("".join(rng.choices("abcdefgh ", k=k)) for k in (30_000, 30_000, 1000))
+    a, b = fingerprints.sketches([one + shared, shared + two])
+    assert len(a[2]) > 500 and fingerprints.as_text(a).count(",") == sum(map(len, a)) - 3
+    assert fingerprints.likeness(a, b) == len({*a[2]} & {*b[2]}) / len({*a[2]} | {*b[2]}) > 0.005
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     rows, labels_ = [], []
