@@ -1,4 +1,4 @@
-"""The operators' queries over the driver's tables: op1 to op10, with production parameters."""
+"""The operators' queries over the driver's tables: op1 to op13, with production parameters."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    cross_polytope,
+    divergence,
     fingerprints,
     jaccard_join,
     language_model,
@@ -17,6 +19,7 @@ from . import (
     pii,
     piece_bpe,
     quality_rules,
+    spelling,
     toxicity,
     url_filters,
 )
@@ -45,6 +48,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_piece_bpe": lambda s, d: piece_bpe.encode(
             read_table(s, d, "documents"), public_tokenizers.path("piece_bpe_32k.model")
         ),
+        "op11_source_divergence": lambda s, d: divergence.audit(read_table(s, d, "documents")),
+        "op12_spelling_variants": lambda s, d: spelling.group(read_table(s, d, "documents")),
+        "op13_cross_polytope": lambda s, d: cross_polytope.nearest(
+            read_table(s, d, "embeddings"), F.col("vec_id") % 20 == 0
+        ),
     }
 
 
