@@ -2,8 +2,8 @@
 
 Tokens are counted once, in Arrow batches; only a piece's place, length and checksum go on. Pieces are dealt
 by hash into blocks of about ``BLOCK_PIECES`` and each block is packed by one task: best fit, longest first,
-then a local search over the underfull sequences. It moves a piece, exchanges one for one, or two for one,
-whenever that raises the sum of squared fills, so that the emptiest sequences drain and go. More documents
+then a local search over all underfull sequences. It moves pieces, exchanges one for one, or two for one, whenever
+that raises the sum of squared fills, so that the emptiest sequences drain and go, until none goes any more. More documents
 make more blocks, never larger ones; a block wastes less than one sequence more than a single large block.
 
 Defined results: a NULL or empty text is the separator alone (one token). Repeated rows are packed each.
@@ -12,10 +12,12 @@ An empty table gives an empty result. A NULL ``doc_id`` is kept. Other columns a
 
 from __future__ import annotations
 
+import heapq
 import json
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,8 +31,8 @@ from .common import pieces, stored, text_of
 MAX_TOKENS = 2048
 SEPARATOR = 0
 BLOCK_PIECES = 40_000
-# Local search looks at so many of the emptiest sequences of a block at a time.
-SEARCH_BINS = 64
+# The local search ends after so many rounds over all underfull sequences that empty none.
+IDLE_ROUNDS = 8
 SLICE_BYTES = 16_000_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # Characters of which all libraries agree what is a letter, a number or a space.
@@ -137,65 +139,115 @@ def best_fit(lengths: list[int], most: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: list[int], most: int, width: int = SEARCH_BINS) -> list[list[int]]:
-    """Exchanges and moves between underfull bins as long as they raise the sum of squared fills.
+def local_search(bins: list[list[int]], lengths: list[int], most: int) -> list[list[int]]:
+    """Exchanges and moves between all underfull bins as long as they raise the sum of squared fills.
 
-    Works on the ``width`` emptiest bins; every step raises an integer that is bounded, so it ends.
+    Bins are looked at from the emptiest on. One gives a piece, or two, to a fuller bin and takes back nothing, a piece,
+    or two for one, by the step that moves most; when it finds no step, the next bin follows. Every step raises a whole number that is
+    bounded, so a round ends. Rounds go on until one changes nothing, ``IDLE_ROUNDS`` in a row empty no bin, or there
+    are as few bins as the pieces' total needs. Pieces of equal length are
+    one, and partners are looked up by what they have to give (:class:`_Partners`), so a step's cost depends on the
+    number of lengths, not of bins.
     """
-    fill = [sum(lengths[i] for i in b) for b in bins]
-    order = sorted((k for k in range(len(bins)) if fill[k] < most), key=lambda k: fill[k])[:width]
-    improved = True
-    while improved:
-        improved = False
-        order = sorted((k for k in order if bins[k]), key=lambda k: fill[k])
-        for low in order:
-            for high in reversed(order):
-                if fill[high] < fill[low] or high == low or not bins[low]:
-                    continue
-                step = _step(bins[low], bins[high], lengths, most - fill[high])
-                if step is None:
-                    continue
-                give, take = step
-                gain = sum(lengths[i] for i in give) - sum(lengths[i] for i in take)
-                bins[low] = [i for i in bins[low] if i not in give] + list(take)
-                bins[high] = [i for i in bins[high] if i not in take] + list(give)
-                fill[low] -= gain
-                fill[high] += gain
-                improved = True
-    return [b for b in bins if b]
-
-
-def _step(
-    low: list[int], high: list[int], lengths: list[int], gap: int
-) -> tuple[tuple[int, ...], tuple[int, ...]] | None:
-    """What to give and to take so that the fuller bin gains as much as its gap allows; None if nothing does."""
-    if gap <= 0:
-        return None
-    best, found = 0, None
-    for a in low:
-        if best < lengths[a] <= gap:
-            best, found = lengths[a], ((a,), ())
-    for a in low:
-        for b in high:
-            gain = lengths[a] - lengths[b]
-            if best < gain <= gap:
-                best, found = gain, ((a,), (b,))
-    if best < gap:
-        for i, a in enumerate(low):
-            for c in low[i + 1 :]:
-                pair = lengths[a] + lengths[c]
-                for b in high:
-                    gain = pair - lengths[b]
-                    if best < gain <= gap:
-                        best, found = gain, ((a, c), (b,))
-        for i, a in enumerate(high):
-            for c in high[i + 1 :]:
-                pair = lengths[a] + lengths[c]
-                for b in low:
-                    gain = lengths[b] - pair
-                    if best < gain <= gap:
-                        best, found = gain, ((b,), (a, c))
-    return found
+    filled = [sum(lengths[i] for i in b) for b in bins]
+    full = [b for b, n in zip(bins, filled) if n >= most]
+    loose = [b for b, n in zip(bins, filled) if n < most]
+    contents = [Counter(lengths[i] for i in b) for b in loose]
+    gaps = [most - sum(k * n for k, n in c.items()) for c in contents]
+    least = -(-sum(most - g for g in gaps) // most)  # no packing has fewer bins
+    idle, moved_any = 0, True
+    while moved_any and idle < IDLE_ROUNDS and (before := sum(map(bool, contents))) > least:
+        moved_any = False
+        partners = _Partners(contents, gaps, most)
+        for low in sorted(range(len(contents)), key=lambda k: -gaps[k]):
+            partners.remove(low)
+            while contents[low] and (step := partners.step(contents[low])):
+                give, take, high = step
+                for here, there, moved in ((low, high, give), (high, low, take)):
+                    contents[here].subtract(moved)
+                    contents[here] += Counter()  # without what is used up
+                    contents[there].update(moved)
+                gain = sum(give) - sum(take)
+                gaps[low] += gain
+                gaps[high] -= gain
+                partners.change(high)
+                moved_any = True
+        idle = 0 if sum(map(bool, contents)) < before else idle + 1
+    items: dict[int, list[int]] = {}
+    for i in sorted((i for b in loose for i in b), reverse=True):
+        items.setdefault(lengths[i], []).append(i)
+    packed = [[items[k].pop() for k, n in sorted(c.items(), reverse=True) for _ in range(n)] for c in contents]
+    return full + [b for b in packed if b]
+
+
+class _Partners:
+    """Underfull bins by what they can give: nothing, one piece, or two. For each total, the emptiest bin first."""
+
+    def __init__(self, contents: list[Counter], gaps: list[int], most: int):
+        self.contents, self.gaps = contents, gaps
+        self.versions = [0] * len(contents)
+        self.heaps: list[list[list[tuple]]] = [[[] for _ in range(most + 1)] for _ in range(2)]
+        # A bin that gives t back can gain up to its gap, so it can be given up to gap + t.
+        self.reach = np.full((2, most + 1), -1, np.int64)
+        self.totals: list[tuple[set[int], set[int]]] = [(set(), set())] * len(contents)
+        for k in range(len(contents)):
+            self._add(k)
+
+    def step(self, low: Counter) -> tuple[tuple[int, ...], tuple[int, ...], int] | None:
+        """What a bin gives and takes back, and its partner; the step by which the partner gains most."""
+        best, found = 0, None
+        singles, pairs = _totals(low)
+        for given, kinds in ((singles, (0, 1)), (pairs, (0,))):
+            for v in given:
+                for kind in kinds:
+                    fits = self.reach[kind, :v] >= v
+                    t = int(fits.argmax())
+                    if fits[t] and v - t > best:
+                        best, found = v - t, (v, given is pairs, t, kind)
+        if found is None:
+            return None
+        v, two, t, kind = found
+        high = self.heaps[kind][t][0][1]
+        give = _pair(low, v) if two else (v,)
+        take = _pair(self.contents[high], t) if kind else (t,) if t else ()
+        return give, take, high
+
+    def change(self, k: int) -> None:
+        self.remove(k)
+        if self.gaps[k] > 0:
+            self._add(k)
+
+    def remove(self, k: int) -> None:
+        self.versions[k] += 1
+        for kind, totals in enumerate(self.totals[k]):
+            for t in totals:
+                self._settle(kind, t)
+        self.totals[k] = (set(), set())
+
+    def _add(self, k: int) -> None:
+        singles, pairs = _totals(self.contents[k])
+        self.totals[k] = ({0, *singles}, pairs)
+        for kind, totals in enumerate(self.totals[k]):
+            for t in totals:
+                heapq.heappush(self.heaps[kind][t], (-self.gaps[k], k, self.versions[k]))
+                self._settle(kind, t)
+
+    def _settle(self, kind: int, t: int) -> None:
+        heap = self.heaps[kind][t]
+        while heap and self.versions[heap[0][1]] != heap[0][2]:
+            heapq.heappop(heap)
+        self.reach[kind, t] = t - heap[0][0] if heap else -1
+
+
+def _totals(content: Counter) -> tuple[set[int], set[int]]:
+    """The lengths in a bin, and the sums of two of its pieces."""
+    kinds = sorted(content)
+    pairs = {a + b for i, a in enumerate(kinds) for b in kinds[i + 1 :]} | {2 * a for a in kinds if content[a] > 1}
+    return set(kinds), pairs
+
+
+def _pair(content: Counter, total: int) -> tuple[int, int]:
+    return next((a, total - a) for a in sorted(content) if content[total - a] > (a == total - a))
 
 
 def _packer(most: int) -> Callable[[pd.DataFrame], pd.DataFrame]:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -156,6 +157,28 @@ def test_local_search_empties_bins():
     assert all(sum(lengths[i] for i in b) <= 10 for b in bins)
 
 
+def test_local_search_finds_what_best_fit_misses():
+    lengths = [31, 10, 24, 21, 13, 32, 7, 10, 14, 22, 17, 10, 27]
+    first = packing.best_fit(lengths, 61)
+    assert len(first) == 5 and len(packing.local_search(first, lengths, 61)) == 4 == -(-sum(lengths) // 61)
+    rng = random.Random(8)
+    for _ in range(200):
+        most = rng.randint(5, 60)
+        lengths = [rng.randint(1, most) for _ in range(rng.randint(0, 30))]
+        first = packing.best_fit(lengths, most)
+        bins = packing.local_search(first, lengths, most)
+        assert sorted(i for b in bins for i in b) == list(range(len(lengths))) and len(bins) <= len(first)
+        assert all(0 < sum(lengths[i] for i in b) <= most for b in bins)
+
+
+def test_local_search_ends_on_repeated_rows():
+    begin = time.monotonic()
+    for size, bins in ((3, 59), (1025, 40_000), (683, 20_000)):
+        lengths = [size] * 40_000
+        assert len(packing.local_search(packing.best_fit(lengths, 2048), lengths, 2048)) == bins
+    assert time.monotonic() - begin < 30
+
+
 def test_pieces(docs):
     from sentencepiece import SentencePieceProcessor
 
