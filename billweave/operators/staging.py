@@ -92,6 +92,17 @@ def stage_report(raw: DataFrame, options: StagingOptions = StagingOptions()) ->
     return kept.select(*[values[c].alias(c) for c in STAGING_SOURCES])
 
 
+def stage_versions(raw: DataFrame, options: StagingOptions = StagingOptions()) -> DataFrame:
+    """Typed rows of every dated file version since the start date, without the version flag.
+
+    One scan: which version is the newest is left to whoever keeps the rows by version.
+    """
+    raw = _complete(raw, options)
+    rows = raw.select(*[value.alias(name) for name, value in _staged_columns(raw, options).items()])
+    start = F.lit(options.start_date).cast("timestamp_ntz")
+    return rows.filter((F.col(PERIOD) >= start) & F.col(VERSION).isNotNull())
+
+
 def cast_failures(raw: DataFrame, options: StagingOptions = StagingOptions()) -> DataFrame:
     """Per report column: rows that hold a text which its type cannot take. Columns without any
     are left out."""
@@ -114,6 +125,10 @@ def restamp(raw: DataFrame, modified_at: str) -> DataFrame:
 
 
 def _complete(raw: DataFrame, options: StagingOptions) -> DataFrame:
+    """The report columns under their own names, whatever case the source writes them in."""
+    by_lower = {c.lower(): c for c in raw.columns}
+    renamed = {by_lower[c]: c for c in REPORT_COLUMNS if c in by_lower and c not in raw.columns}
+    raw = raw.withColumnsRenamed(renamed) if renamed else raw
     absent = missing_columns(raw.columns)
     if not absent:
         return raw

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billweave.functions import quote_name, quote_text
-
 CORRUPT_COLUMN = "_corrupt_record"
 
 # Quotes inside quoted fields are doubled, as in the JSON text of the product column.
 CSV_FORMAT = {"header": "true", "quote": '"', "escape": '"'}
+# Files whose first lines are read by one job.
+HEADERS_AT_ONCE = 200
 
 
 def read_csv_report(
@@ -22,8 +25,9 @@ def read_csv_report(
     multi_line: bool = False,
     bad_lines: str = "fail",
 ) -> DataFrame:
-    """CSV report files with a header as one relation; every column is text.
+    """CSV report files of one header as one relation; every column is text.
 
+    A file with another header than the first one fails the job (:func:`read_csv_folder` takes different headers).
     A line with too few or too many fields fails the job; so does one that is cut by a line feed inside quotes,
     which takes ``multi_line``. With ``bad_lines="null"`` such a line has what could be read, NULL elsewhere,
     and its text in the column ``_corrupt_record``.
@@ -44,21 +48,87 @@ def read_csv_report(
     reader = reader.options(columnPruning=False, mode="FAILFAST" if bad_lines == "fail" else "PERMISSIVE")
     if bad_lines == "null":
         schema = schema.add(CORRUPT_COLUMN, T.StringType())
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).option("enforceSchema", True)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     return reader.schema(schema).csv(path)
 
 
-def register_csv_folder(spark: SparkSession, folder: str, files: list[str]) -> list[str]:
-    """Makes each named CSV file of a folder a temporary view called like the file."""
-    views = []
-    for file in files:
-        view = PurePosixPath(file).stem
-        options = ", ".join(f"{k} {quote_text(v)}" for k, v in CSV_FORMAT.items())
-        spark.sql(
-            f"CREATE OR REPLACE TEMPORARY VIEW {quote_name(view)} USING csv "
-            f"OPTIONS (path {quote_text(folder.rstrip('/') + '/' + file)}, {options})"
-        )
-        views.append(view)
+def read_csv_folder(
+    spark: SparkSession,
+    folder: str,
+    columns: list[str] | tuple[str, ...] | None = None,
+    unknown: str = "drop",
+    missing: str = "null",
+    multi_line: bool = False,
+    bad_lines: str = "fail",
+) -> DataFrame:
+    """All CSV files under a folder as one relation, whatever the order of their columns.
+
+    Every file's header is read and its columns are taken by name, in any case of letters. The result has
+    ``columns``, by default those of all files in the order of their first appearance. A column of a file that isn't
+    among them is dropped, or an error with ``unknown="fail"``; one that a file lacks is NULL, or an error with
+    ``missing="fail"``. A header that names a column twice is an error. Files of one header are one scan.
+    """
+    if unknown not in ("drop", "fail") or missing not in ("null", "fail"):
+        raise ValueError("unknown is 'drop' or 'fail', missing is 'null' or 'fail'")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file, header in csv_headers(spark, csv_files(spark, folder)).items():
+        by_header.setdefault(header, []).append(file)
+    if not by_header:
+        raise ValueError(f"no CSV files found under {folder}")
+    wanted = list(columns) if columns else list({n.lower(): n for h in reversed(by_header) for n in reversed(h)}.values())[::-1]
+    parts = []
+    for header, files in by_header.items():
+        have = {n.lower(): n for n in header}
+        strange = [n for n in header if n.lower() not in {w.lower() for w in wanted}]
+        absent = [w for w in wanted if w.lower() not in have]
+        if strange and unknown == "fail":
+            raise ValueError(f"{files[0]} has unknown columns: {', '.join(strange)}")
+        if absent and missing == "fail":
+            raise ValueError(f"{files[0]} lacks columns: {', '.join(absent)}")
+        rows = read_csv_report(spark, files, multi_line=multi_line, bad_lines=bad_lines)
+        taken = [
+            (F.lit(None).cast("string") if w.lower() not in have else F.col(f"`{have[w.lower()]}`")).alias(w) for w in wanted
+        ]
+        parts.append(rows.select(*taken, *([CORRUPT_COLUMN] if bad_lines == "null" else [])))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def csv_files(spark: SparkSession, folder: str) -> list[str]:
+    """The CSV files under a folder, sub-folders included; only listed, not read."""
+    listed = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(folder)
+    return sorted(r.path for r in listed.select("path").collect())
+
+
+def csv_headers(spark: SparkSession, files: list[str]) -> dict[str, tuple[str, ...]]:
+    """The column names of each file. A file without a line is left out; of the others only the first is read."""
+    found: dict[str, tuple[str, ...]] = {}
+    for begin in range(0, len(files), HEADERS_AT_ONCE):
+        lines = [
+            spark.read.text(file).limit(1).select(F.lit(file).alias("file"), "value")
+            for file in files[begin : begin + HEADERS_AT_ONCE]
+        ]
+        for row in reduce(DataFrame.union, lines).collect():
+            names = tuple(next(csv.reader([row.value.removeprefix("﻿")])))
+            if len({n.lower() for n in names}) < len(names):
+                raise ValueError(f"{row.file} names a column twice")
+            found[row.file] = names
+    return found
+
+
+def register_csv_folder(spark: SparkSession, folder: str, files: list[str] | None = None) -> list[str]:
+    """Makes each CSV file of a folder, or each of those named, a temporary view called like the file.
+
+    A folder called ``name.csv`` counts as a file. A line that doesn't fit its header fails the query.
+    """
+    root = folder.rstrip("/")
+    if files is None:
+        marker = "/" + root.rsplit("/", 1)[-1] + "/"
+        files = sorted({f.rsplit(marker, 1)[-1].split("/")[0] for f in csv_files(spark, root)})
+    views = [PurePosixPath(file).stem for file in files]
+    if len({v.lower() for v in views}) < len(views):
+        raise ValueError("two files of the folder have the same name but for their ending or case")
+    for view, file in zip(views, files):
+        read_csv_report(spark, f"{root}/{file}").createOrReplaceTempView("`" + view.replace("`", "``") + "`")
     return views
 
 
