@@ -8,6 +8,7 @@ from billweave.functions.casts import (
     lenient_int,
     lenient_number,
     lenient_time,
+    maybe_infinite_number,
     strict,
     typed_value,
     unreadable,
@@ -30,6 +31,7 @@ __all__ = [
     "lenient_int",
     "lenient_number",
     "lenient_time",
+    "maybe_infinite_number",
     "product_name",
     "quote_name",
     "quote_text",

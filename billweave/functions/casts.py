@@ -30,6 +30,11 @@ def lenient_number(text: str, target: str = "float") -> Column:
     return F.expr(f"case when abs({number}) < {target}('infinity') then {number} end")
 
 
+def maybe_infinite_number(text: str, target: str = "float") -> Column:
+    """:func:`lenient_number` before the test for infinity, which names the number twice: cast it in a step before."""
+    return F.expr(f"case when {_may_be_number(text)} then try_cast({text} as {target}) end")
+
+
 def lenient_time(text: str) -> Column:
     """Zone-less timestamp; a zone suffix is read over, anything without a full date gives NULL.
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billweave.functions import product_name, report_name, typed_value, unreadable
+from billweave.functions import maybe_infinite_number, product_name, report_name, typed_value, unreadable
 from billweave.operators.lookups import join_lookup, settle
 from billweave.schema import REPORT_COLUMNS, STAGING_SOURCES, TypePlan, missing_columns
 
@@ -38,7 +38,7 @@ class StagingOptions:
 
 def type_report(raw: DataFrame, options: StagingOptions = StagingOptions()) -> DataFrame:
     """The origin of the rows and the 80 report columns, cast leniently."""
-    raw = _complete(raw, options)
+    raw = _with_numbers(_complete(raw, options), options)
     typed = _typed_columns(raw, options)
     return raw.select(
         F.lit(options.source_relation).alias("source_relation"),
@@ -52,7 +52,7 @@ def flag_latest_version(raw: DataFrame, options: StagingOptions = StagingOptions
     The newest version per period is aggregated and joined back. A window over the period would
     give the same flag, but sort all rows of a month in one task.
     """
-    raw = _complete(raw, options)
+    raw = _with_numbers(_complete(raw, options), options)
     staged = _staged_columns(raw, options)
     rows = raw.select(*[value.alias(name) for name, value in staged.items()])
     keys = options.version_keys
@@ -80,7 +80,7 @@ def stage_report(raw: DataFrame, options: StagingOptions = StagingOptions()) ->
     recent = keyed.filter(F.col(early[PERIOD]) >= F.lit(options.start_date).cast("timestamp_ntz"))
 
     keys = [early[k] for k in options.version_keys]
-    latest = settle(_latest(recent, keys, early[VERSION]), "latest-versions")
+    latest = settle(_latest(_distinct_texts(raw, options, early), keys, early[VERSION]), "latest-versions")
     kept = join_lookup(
         recent.filter(F.col(early[VERSION]).isNotNull()),
         latest,
@@ -88,7 +88,8 @@ def stage_report(raw: DataFrame, options: StagingOptions = StagingOptions()) ->
         "inner",
         null_safe=True,
     )
-    values = {**staged, **{c: F.col(alias) for c, alias in early.items()}, FLAG: F.lit(True)}
+    kept = _with_numbers(kept, options)
+    values = {**_staged_columns(kept, options), **{c: F.col(alias) for c, alias in early.items()}, FLAG: F.lit(True)}
     return kept.select(*[values[c].alias(c) for c in STAGING_SOURCES])
 
 
@@ -97,7 +98,7 @@ def stage_versions(raw: DataFrame, options: StagingOptions = StagingOptions()) -
 
     One scan: which version is the newest is left to whoever keeps the rows by version.
     """
-    raw = _complete(raw, options)
+    raw = _with_numbers(_complete(raw, options), options)
     rows = raw.select(*[value.alias(name) for name, value in _staged_columns(raw, options).items()])
     start = F.lit(options.start_date).cast("timestamp_ntz")
     return rows.filter((F.col(PERIOD) >= start) & F.col(VERSION).isNotNull())
@@ -137,6 +138,13 @@ def _complete(raw: DataFrame, options: StagingOptions) -> DataFrame:
     return raw.withColumns({c: F.lit(None).cast("string") for c in absent})
 
 
+def _with_numbers(raw: DataFrame, options: StagingOptions) -> DataFrame:
+    """Number texts as numbers, perhaps infinite: each is cast once, and only then tested."""
+    have = {f.name: f.dataType.simpleString() for f in raw.schema}
+    texts = [c for c in REPORT_COLUMNS if have[c] == "string" and options.types.of(c) in ("float", "double")]
+    return raw.withColumns({c: maybe_infinite_number(c, options.types.of(c)) for c in texts}) if texts else raw
+
+
 def _typed_columns(raw: DataFrame, options: StagingOptions) -> dict[str, Column]:
     have = {f.name: f.dataType.simpleString() for f in raw.schema}
     return {c: typed_value(c, have[c], options.types.of(c)) for c in REPORT_COLUMNS}
@@ -157,5 +165,15 @@ def _staged_columns(raw: DataFrame, options: StagingOptions) -> dict[str, Column
     }
 
 
+def _distinct_texts(raw: DataFrame, options: StagingOptions, early: dict[str, str]) -> DataFrame:
+    """The version keys of the report, each combination of their raw values cast once instead of once a row."""
+    sources = {s for c in early for s in {"report": ("_file",)}.get(c, STAGING_SOURCES[c]) if s in raw.columns}
+    staged = _staged_columns(raw, options)
+    found = raw.select(*sorted(sources)).distinct()
+    # Nothing but the key columns is left to cast; the others are never asked for.
+    keyed = found.select(*[staged[c].alias(alias) for c, alias in early.items()])
+    return keyed.filter(F.col(early[PERIOD]) >= F.lit(options.start_date).cast("timestamp_ntz"))
+
+
 def _latest(rows: DataFrame, keys: list[str] | tuple[str, ...], version: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.max(version).alias("__latest"))

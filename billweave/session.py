@@ -13,8 +13,10 @@ RECOMMENDED_SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Java does not compile methods over this size. Whole-stage code for 80 casts is larger, and
-    # would be interpreted; beyond the limit Spark falls back to code in smaller methods.
+    # Java does not compile methods over 64 KB and does not optimise those over 8000 bytes. Whole-stage code of the
+    # 80 report columns is larger: it would be made, refused and made again in pieces. Rows as wide as
+    # these go through expressions that are compiled one by one, narrower ones through whole-stage code.
+    "spark.sql.codegen.maxFields": "60",
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Column calls are many here, and recording a Python stack trace for each is slow.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
