@@ -10,6 +10,7 @@ from billweave.operators.checks import duplicated_keys, empty_tables, null_keys
 from billweave.operators.overview import daily_overview
 from billweave.operators.rollups import daily_instance_report, daily_product_report
 from billweave.operators.staging import StagingOptions, stage_report
+from billweave.plans.landing import land_report
 from billweave.sinks.catalogs import CatalogTarget
 from billweave.sinks.tables import replace_table
 
@@ -40,12 +41,16 @@ def build_tables(
 ) -> DailyTables:
     """Writes the staging table and the three daily tables, replacing earlier ones.
 
-    Every table is read back for the next step: raw text is parsed once for all tables, and the
-    two reports aggregate the stored, rounded overview. Staging stays in the session catalog
-    unless told otherwise; the daily tables go to ``target``.
+    Every table is read back for the next step: raw text is parsed once for all tables
+    (:mod:`billweave.plans.landing`), and the two reports aggregate the stored, rounded overview. Staging
+    stays in the session catalog unless told otherwise, where superseded rows are found by a scan of
+    their own; the daily tables go to ``target``.
     """
     home = staging_target or CatalogTarget("builtin", target.namespace)
-    staging = replace_table(stage_report(raw, options), home, STAGING_TABLE)
+    if home.is_session:
+        staging = land_report(raw, home, STAGING_TABLE, options)
+    else:
+        staging = replace_table(stage_report(raw, options), home, STAGING_TABLE)
     overview = replace_table(
         daily_overview(staging), target, OVERVIEW_TABLE, "usage_start_date",
         "Costs and usage per day and all dimensions of a line item.",
