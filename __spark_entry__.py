@@ -23,10 +23,12 @@ from billweave.operators.names import (  # noqa: E402
     billing_account_names,
     usage_account_names,
 )
-from billweave.operators.overview import daily_overview  # noqa: E402
+from billweave.operators.overview import daily_overview, merged_overview, overview_states  # noqa: E402
 from billweave.operators.rollups import daily_instance_report, daily_product_report  # noqa: E402
+from billweave.plans.append import append_parquet  # noqa: E402
+from billweave.plans.landing import land_report  # noqa: E402
 from billweave.plans.marts import DailyTables, build_tables, check_tables  # noqa: E402
-from billweave.schema import landing_schema  # noqa: E402
+from billweave.schema import REPORT_COLUMNS, landing_schema  # noqa: E402
 from billweave.session import prepare, scratch_path  # noqa: E402
 from billweave.sinks.catalogs import CatalogTarget  # noqa: E402
 from billweave.sinks.csv_files import write_csv  # noqa: E402
@@ -40,20 +42,26 @@ from billweave.sinks.tables import (  # noqa: E402
     truncate_table,
     write_probe,
 )
-from billweave.sources.event_logs import coerce_records, event_records  # noqa: E402
-from billweave.sources.files import read_csv_report, read_parquet_report, register_csv_folder  # noqa: E402
+from billweave.sources.event_logs import coerce_records  # noqa: E402
+from billweave.sources.files import (  # noqa: E402
+    read_csv_folder,
+    read_csv_report,
+    read_parquet_report,
+    register_csv_folder,
+)
+from billweave.sources.landed_rows import ingest_rows  # noqa: E402
+from billweave.sources.log_scan import scan_event_log  # noqa: E402
 from billweave.sources.star_schema import raw_report  # noqa: E402
 from billweave.sources.tables import ReportSource, read_report_table  # noqa: E402
 from billweave.streaming.ingest import RawTable, ingest, landed_files  # noqa: E402
 from billweave.streaming.refresh import DailyRefresh  # noqa: E402
 
-try:  # the subpackage llm and its pipeline may be left out of an installation
+try:  # the subpackage llm, its pipeline, or what they need may be left out of an installation
     import corpus_pipeline
     from billweave.llm import queries as llm_queries
     from billweave.llm import sql as llm_sql
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "billweave.llm"):
-        raise
+except ImportError as missing:
+    print(f"queries of the training-data operators are left out: {missing}", file=sys.stderr)
     corpus_pipeline = None
 
 SMOKE_FOLDER = "/root/testdata/sf0.001"
@@ -97,6 +105,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_checks": _table_checks,
         "parquet_folder": _parquet_folder,
         "csv_folder": _csv_folder,
+        "csv_catalog": _csv_catalog,
+        "landed_report": _landed_report,
+        "appended_parquet": _appended_parquet,
+        "row_bounded_ingest": _row_bounded_ingest,
+        "merged_states_overview": _merged_states_overview,
         "catalog_table": _catalog_table,
         "table_lifecycle": _table_lifecycle,
     }
@@ -190,14 +203,51 @@ def _parquet_folder(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _csv_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """Two CSV files of a folder as views; blanks come back as NULL."""
-    path, raw, run = scratch_path(spark, "csv-report"), raw_report(spark, folder), uuid.uuid4().hex
+    """All CSV files of a folder, one half of them with the columns the other way round; blanks come back as NULL."""
+    path, raw = scratch_path(spark, "csv-report"), raw_report(spark, folder)
+    write_csv(raw.filter(F.col("bill_bill_type") == "Refund"), f"{path}/refunds.csv")
+    write_csv(raw.filter(F.col("bill_bill_type") != "Refund").select(*reversed(REPORT_COLUMNS)), f"{path}/others.csv")
+    return read_csv_folder(spark, path, REPORT_COLUMNS)
+
+
+def _csv_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """The CSV files of a folder as views, found by listing."""
+    path, raw, run = scratch_path(spark, "csv-catalog"), raw_report(spark, folder), uuid.uuid4().hex
     write_csv(raw.filter(F.col("bill_bill_type") == "Refund"), f"{path}/refunds_{run}.csv")
     write_csv(raw.filter(F.col("bill_bill_type") != "Refund"), f"{path}/others_{run}.csv")
-    first, second = register_csv_folder(spark, path, [f"refunds_{run}.csv", f"others_{run}.csv"])
+    first, second = register_csv_folder(spark, path)
     return spark.table(first).unionByName(spark.table(second))
 
 
+def _landed_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Staging from one pass over the text; superseded versions are dropped by partition names."""
+    return land_report(raw_report(spark, folder), SESSION_CATALOG, f"landed_{uuid.uuid4().hex}")
+
+
+def _merged_states_overview(spark: SparkSession, folder: str) -> DataFrame:
+    """The overview merged from the partial aggregates of two loads."""
+    staged = _staged(spark, folder)
+    first = F.col("bill_type") == "Refund"
+    return merged_overview(overview_states(staged.filter(first)).unionByName(overview_states(staged.filter(~first))))
+
+
+def _appended_parquet(spark: SparkSession, folder: str) -> DataFrame:
+    """A landed Parquet folder appended to a new raw table in one call, and the number of rows it returns."""
+    path, table = scratch_path(spark, "landed-parquet"), f"appended_{uuid.uuid4().hex}"
+    raw_report(spark, folder).write.parquet(f"{path}/of/a/day")
+    rows = append_parquet(spark, path, SESSION_CATALOG, table, bad_values="null")
+    return spark.createDataFrame([(rows,)], "n_rows long")
+
+
+def _row_bounded_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """How many rows each batch has added to a raw table, with at most ``BOUNDED_ROWS`` a batch."""
+    root, run = scratch_path(spark, "bounded"), uuid.uuid4().hex
+    raw_report(spark, folder).write.parquet(f"{root}/landing")
+    raw = RawTable(SESSION_CATALOG, f"bounded_{run}", f"{root}/raw", bad_values="null")
+    ingest_rows(spark, f"{root}/landing", raw, f"{root}/checkpoint", oracle_queries.BOUNDED_ROWS)
+    return spark.table(raw.name).groupBy("ingest_batch").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def _catalog_table(spark: SparkSession, folder: str) -> DataFrame:
     """Staging from a raw table that the environment names."""
     table = f"report_{uuid.uuid4().hex}"
@@ -226,7 +276,7 @@ def _table_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _event_envelopes(spark: SparkSession, folder: str) -> DataFrame:
-    """The events as log lines, with other text around the objects, read back as report records."""
+    """The events as objects printed over many lines, with other text around them, read back as report records."""
     events = spark.read.parquet(f"{folder}/events.parquet")
     record = F.struct(
         F.col("event_type").alias("_file"),
@@ -240,30 +290,31 @@ def _event_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     )
     kind = F.col("event_id") % 3
     event = (
-        F.when(kind == 0, F.to_json(F.struct(record.alias("value"), F.lit("k").alias("key"))))
-        .when(kind == 1, F.to_json(F.struct(record.alias("data"))))
+        F.when(kind == 0, F.to_json(F.struct(record.alias("value"), F.lit("k").alias("key")), {"pretty": "true"}))
+        .when(kind == 1, F.to_json(F.struct(record.alias("data")), {"pretty": "true"}))
         .otherwise(F.to_json(record))
     )
     deep = F.lit('{"note": ' + '{"a": ' * 8 + "1" + "}" * 8 + "}")
-    line = F.concat(F.lit("INFO [worker {7}] out: {job "), event, F.lit(' {"note": "no record"} } '), deep, F.lit(" done"))
-    return coerce_records(event_records(events.select(line.alias("value")))).select(
+    line = F.concat(F.lit("INFO [worker {7}] out: {job "), event, F.lit(' {"note": "no record"} } '), deep, F.lit(" done, set {a} and {"))
+    path = scratch_path(spark, "event-log")
+    events.select(line.alias("value")).write.text(path)
+    return coerce_records(scan_event_log(spark, path)).select(
         "_file", "_line", "_modified", "_fivetran_synced", "line_item_unblended_cost",
         "line_item_usage_amount", "product",
     )
 
 
 def _stream_ingest_marts(spark: SparkSession, folder: str) -> DataFrame:
-    """The product report kept by a stream: older file versions land first, newer ones replace them."""
+    """The product report kept by a stream: half of the older file versions land first, then newer ones, which
+    replace them, then the other half, which comes too late to count."""
     root = scratch_path(spark, "stream")
     run = uuid.uuid4().hex
     raw = raw_report(spark, folder)
-    older = F.col("_modified").contains("-01 ")
-    raw.filter(older).write.parquet(f"{root}/landing/older")
+    older, even = F.col("_modified").contains("-01 "), F.col("identity_line_item_id").cast("long") % 2 == 0
     raw_table = RawTable(SESSION_CATALOG, f"raw_{run}", f"{root}/raw", bad_values="null")
     refresh = DailyRefresh(raw_table, SESSION_CATALOG, prefix=f"live_{run}_", folder=f"{root}/tables")
-    for arrival in ("older", "newer"):
-        if arrival == "newer":
-            raw.filter(~older).write.parquet(f"{root}/landing/newer")
+    for arrival, rows in (("older", older & even), ("newer", ~older), ("late", older & ~even)):
+        raw.filter(rows).write.parquet(f"{root}/landing/{arrival}")
         ingest(
             landed_files(spark, f"{root}/landing"),
             raw_table,

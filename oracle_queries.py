@@ -21,6 +21,8 @@ from billweave.schema import (
 )
 from billweave.sources.star_schema import FILLED_COLUMNS
 
+# Rows of a batch at most, in the query of bounded batches.
+BOUNDED_ROWS = 25_000
 RESTAMPED_AT = "2026-05-28 00:00:00.000"
 
 _TYPES = {"text": "varchar", "time": "timestamp", "int": "bigint", "number": "float"}
@@ -197,6 +199,13 @@ union all select 'daily_product_report', count(*) from ({product})
 union all select 'daily_instance_report', count(*) from ({_rollup(INSTANCE_DIMENSIONS, INSTANCE_COUNTS)})""",
         "parquet_folder": f"with {RAW} select * from raw",
         "csv_folder": f"with {RAW} select {_listed(f"nullif({c}, '') as {c}" for c in REPORT_COLUMNS)} from raw",
+        "csv_catalog": f"with {RAW} select {_listed(f"nullif({c}, '') as {c}" for c in REPORT_COLUMNS)} from raw",
+        "landed_report": f"{_staging()} select * from staging",
+        "merged_states_overview": f"{OVERVIEW} select * from overview",
+        "appended_parquet": "select count(*) as n_rows from lineitem",
+        "row_bounded_ingest": f"""with total as (select count(*) as n from lineitem)
+select 'batch-' || i as ingest_batch, least({BOUNDED_ROWS}, n - i * {BOUNDED_ROWS}) as n_rows
+from total, unnest(range(0, (n + {BOUNDED_ROWS} - 1) // {BOUNDED_ROWS})) as t(i)""",
         "catalog_table": f"{_staging()} select * from staging",
         "table_lifecycle": f"""with {RAW}
 select 'appended' as step, count(*) as n_rows from raw
