@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from billweave.session import scratch_path
 
-# Rows are spread over this many salts when a lookup is too large to broadcast.
+# Rows are spread over this many salts when a lookup is too large to broadcast, unless told otherwise.
 SALTS = 32
 # Room taken by one row of a broadcast hash table besides its values.
 _ROW_OVERHEAD = 64
@@ -47,7 +47,7 @@ def settle(df: DataFrame, label: str) -> Lookup:
 
 
 def join_lookup(
-    df: DataFrame, lookup: Lookup, keys: dict[str, str], how: str, null_safe: bool = False
+    df: DataFrame, lookup: Lookup, keys: dict[str, str], how: str, null_safe: bool = False, salts: int = SALTS
 ) -> DataFrame:
     """Joins ``df`` to a lookup; ``keys`` maps columns of ``df`` to columns of the lookup.
 
@@ -61,8 +61,8 @@ def join_lookup(
     if lookup.fits():
         table = F.broadcast(table)
     else:
-        last = F.lit(SALTS - 1).cast("long")
-        df = df.withColumn("__salt", F.pmod(F.xxhash64(*_row_identity(df)), F.lit(SALTS)))
+        last = F.lit(salts - 1).cast("long")
+        df = df.withColumn("__salt", F.pmod(F.xxhash64(*_row_identity(df)), F.lit(salts)))
         table = table.withColumn("__lookup_salt", F.explode(F.sequence(F.lit(0).cast("long"), last)))
         on.append((F.col("__salt"), F.col("__lookup_salt")))
     matches = [a.eqNullSafe(b) if null_safe else a == b for a, b in on]
@@ -84,6 +84,6 @@ def _width(field: T.StructField) -> Column:
 
 def _broadcast_limit(spark: SparkSession) -> int:
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
-    digits = text.rstrip("bkmg")
-    unit = {"": 1, "b": 1, "k": 2**10, "m": 2**20, "g": 2**30}
+    digits = text.rstrip("bkmgtp")
+    unit = {"": 1, "b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40, "p": 2**50}
     return int(digits) * unit[text[len(digits) :][:1]]

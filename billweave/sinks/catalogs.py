@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from billweave.functions import quote_name
 
 # The output catalogs that can be written to, and their default settings. "builtin"
-# is the session's own catalog; "ducklake" is a local one, whose counterpart here is the session
-# catalog as well.
+# is the session's own catalog.
 LOCAL_KINDS = ("builtin",)
 REST_KINDS: dict[str, dict[str, str]] = {
     "lakekeeper": {
