@@ -16,6 +16,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 # A key with at least this share of all rows is hot.
 MOST_HOT = 1000
+# Texts that are read in many places are cut into blocks of so many code points.
+BLOCK_CHARS = 1024
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +36,68 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+# Length of the chunks in which :func:`running` goes over an array.
+CHUNK = 256
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column], levels: int = 3) -> Column:
+    """Running sums (or other combinations) of an array of numbers.
+
+    Chunks are run through by themselves and raised by what came before them, which is a running sum over the
+    chunks. So the work is linear for up to ``CHUNK ** levels`` values, and an array is copied only within a chunk.
+    """
+
+    def within(chunk: Column) -> Column:
+        none = F.filter(chunk, lambda x: F.lit(False))
+        return F.aggregate(
+            chunk, none, lambda a, x: F.concat(a, F.array(F.coalesce(combine(F.get(a, F.size(a) - 1), x), x)))
+        )
+
+    def raised(chunks: Column, before: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                chunks,
+                lambda c, k: F.when(k == 0, c).otherwise(F.transform(c, lambda x: combine(F.get(before, k - 1), x))),
+            )
+        )
+
+    def body(v: Column) -> Column:
+        if levels == 1:
+            return within(v)
+        chunks = F.transform(F.sequence(F.lit(1), F.size(v), F.lit(CHUNK)), lambda k: F.slice(v, k, CHUNK))
+        lasts = lambda c: F.transform(c, lambda x: F.get(x, F.size(x) - 1))
+        in_chunks = let(
+            F.transform(chunks, within), lambda c: let(running(lasts(c), combine, levels - 1), lambda b: raised(c, b))
+        )
+        return F.when(F.size(v) <= CHUNK, within(v)).otherwise(in_chunks)
+
+    return let(values, body)
+
+
+def in_blocks(text: Column) -> Column:
+    """A text in blocks of ``BLOCK_CHARS`` code points, of which :func:`cut` reads parts."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{BLOCK_CHARS}}}"), F.lit(0))
+
+
+def cut(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points from ``start`` to before ``end``. Its time doesn't depend on how far into the text they are."""
+    first = F.floor(start / BLOCK_CHARS).cast("int")
+    last = F.floor(F.greatest(end - 1, start) / BLOCK_CHARS).cast("int")
+    near = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+    return F.substring(near, start - first * BLOCK_CHARS + 1, end - start)
+
+
+def smallest_hashes(rows: DataFrame, by: list[Column], n: int, total: int) -> DataFrame:
+    """``n`` of ``total`` rows: those with the smallest 64-bit hashes in ``by[0]``, ties by what follows.
+
+    Rows far above the ``n``-th hash are dropped first, so that about ``2 * n`` rows are sorted, however many tasks
+    there are. Hashes that are no uniform numbers, such as those of repeated rows, can leave fewer than ``n``.
+    """
+    if total > 4 * n:
+        rows = rows.filter(by[0] < int(2 * n / total * 2.0**64) - 2**63)
+    return rows.orderBy(*by).limit(n)
+
+
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -10,8 +10,10 @@
 4. A logistic regression on shape features of the spans is trained on the posteriors, again over counted
    combinations, and decides on the looser candidates. Base spans stay whatever it says.
 
-Positions come from splitting the text by a pattern: matches and the gaps between them alternate. All of it
-is built-in functions; the driver sees only counted combinations.
+Positions come from splitting the text by a pattern: matches and the gaps between them alternate. Work is linear in
+the length of a text and the number of its spans: positions are running sums taken in chunks, context is read from
+blocks of the text, and overlaps are found by binary search. All of it is built-in functions; the driver sees only
+counted combinations.
 
 Defined results: a NULL text counts as empty and has no span. Repeated rows are each reported. An empty
 table gives an empty result. A NULL ``doc_id`` is kept. Other columns of the input are not looked at.
@@ -25,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, carried, let, packed, stored, text_of, unpacked
+from .common import ROW, carried, cut, in_blocks, let, packed, running, stored, text_of, unpacked
 
 # Patterns. Possessive quantifiers and the look-behinds change no match; they keep the search linear.
 EMAIL = (
@@ -72,27 +74,23 @@ def luhn(digits: Column) -> Column:
 
 def spans_of(text: Column, pattern: str) -> Column:
     """All matches with start and end (code points), as an array of structs (start, end, found)."""
-    gaps, found = F.split(text, pattern), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    lengths = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("found")))
-    kept = F.filter(lengths, lambda x: x["found"].isNotNull())
-    start = F.aggregate(
-        kept,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,found:string>>").alias("all")),
-        lambda a, x: F.struct(
-            (a["at"] + x["gap"] + F.length(x["found"])).alias("at"),
-            F.concat(
-                a["all"],
-                F.array(
-                    F.struct(
-                        (a["at"] + x["gap"]).alias("start"),
-                        (a["at"] + x["gap"] + F.length(x["found"])).alias("end"),
-                        x["found"].alias("found"),
-                    )
-                ),
-            ).alias("all"),
-        ),
+
+    def placed(gaps: Column, found: Column, ends: Column) -> Column:
+        return F.transform(
+            found,
+            lambda m, i: F.struct(
+                (F.get(ends, i) - F.length(m)).alias("start"), F.get(ends, i).alias("end"), m.alias("found")
+            ),
+        )
+
+    def body(gaps: Column, found: Column) -> Column:
+        lengths = F.transform(found, lambda m, i: F.length(F.get(gaps, i)) + F.length(m))
+        return let(running(lengths, lambda a, x: a + x), lambda ends: placed(gaps, found, ends))
+
+    return let(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda found: let(F.split(text, pattern), lambda gaps: body(gaps, found)),
     )
-    return start["all"]
 
 
 def _where(condition: Column, spans: Column) -> Column:
@@ -121,23 +119,21 @@ def candidates(docs: DataFrame) -> DataFrame:
         ("_spelled", "email", True),
         ("_local", "phone", True),
     ]
-    everything = F.concat(*[_described(F.col(c), kind, loose, text) for c, kind, loose in ordered])
+    some = F.greatest(*[F.size(c) for c, _, _ in ordered]) > 0
+    blocks = F.when(some, in_blocks(text)).otherwise(F.array().cast("array<string>"))
+    everything = let(blocks, lambda b: F.concat(*[_described(F.col(c), kind, loose, b) for c, kind, loose in ordered]))
     return spans.select("doc_id", "text", *carried(docs), everything.alias("found"))
 
 
-def _described(spans: Column, kind: str, loose: bool, text: Column) -> Column:
+def _described(spans: Column, kind: str, loose: bool, blocks: Column) -> Column:
     """Adds to each span whether it is a base span, the labelers' votes and the classifier's features."""
 
     def describe(s: Column) -> Column:
         digits = digits_of(s["found"])
         n = F.length(digits)
-        before = F.lower(
-            F.substring(
-                text, F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT_CHARS))
-            )
-        )
+        before = F.lower(cut(blocks, F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)), s["start"]))
         near = before.rlike(r"(?:^|[^a-z])(?:" + "|".join(CONTEXT[kind]) + r")[^a-z]")
-        ahead = F.substring(text, s["end"] + 1, F.lit(1))
+        ahead = cut(blocks, s["end"], s["end"] + 1)
         glued = ahead.rlike(r"[\p{L}\p{N}]") | before.rlike(r"[\p{L}\p{N}]\z")
         if kind == "email":
             valid = F.lit(not loose)
@@ -241,11 +237,42 @@ def train_classifier(
     return weights, bias
 
 
+# How the features of a span begin: its kind, and whether it comes from a looser pattern.
+_PATTERNS = tuple(f"{kind}{loose}" for loose in (0, 1) for kind in range(len(KINDS)))
+
+
+def _pattern_of(span: Column) -> Column:
+    return F.substring(span["features"], 1, 2)
+
+
+def _taken(span: Column, lists: Column) -> Column:
+    """Whether a looser span overlaps a base span, or a looser one of a pattern before its own.
+
+    ``lists`` holds the base spans of each kind, then the looser ones of each pattern; a list's spans are in order and
+    don't overlap, so a binary search finds the only one that can.
+    """
+
+    def overlaps(spans: Column) -> Column:
+        steps = F.array(*[F.lit(1 << k) for k in reversed(range(30))])
+        passed = F.aggregate(
+            F.filter(steps, lambda by: by <= F.size(spans)),
+            F.lit(0),
+            lambda at, by: F.when(
+                (at + by <= F.size(spans)) & (F.get(spans, at + by - 1)["end"] <= span["start"]), at + by
+            ).otherwise(at),
+        )
+        return F.coalesce(F.get(spans, passed)["start"] < span["end"], F.lit(False))
+
+    own = F.array_position(F.array(*map(F.lit, _PATTERNS)), _pattern_of(span)) - 1
+    upto = F.slice(lists, 1, (own + len(KINDS)).cast("int"))
+    return F.exists(upto, overlaps)
+
+
 def find(docs: DataFrame) -> DataFrame:
     """doc_id (and a carried row) with ``found``: the spans of each text (k, start, end, kind, base).
 
-    Spans are sorted by kind as listed in KINDS, then start. Looser spans that overlap a base span or an
-    earlier looser span are left out.
+    Spans are sorted by kind as listed in KINDS, then start. Looser spans that overlap a base span, or a looser
+    candidate of a pattern before their own, are left out.
     """
     kept = stored(candidates(docs).drop("text"), "pii-candidates")
     combinations = (
@@ -269,12 +296,14 @@ def find(docs: DataFrame) -> DataFrame:
     passes = lambda s: s["features"].isin(accepted) if accepted else F.lit(False)
     base = F.filter("found", lambda s: s["base"])
     loose = F.filter("found", lambda s: ~s["base"] & passes(s))
-    chosen = F.when(
-        F.size(loose) > 0,
-        F.concat(base, let(base, lambda b: F.aggregate(loose, F.filter(loose, lambda s: F.lit(False)), lambda a, s: F.when(
-            F.exists(F.concat(a, b), lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])), a
-        ).otherwise(F.concat(a, F.array(s)))))),
-    ).otherwise(base)
+    added = let(
+        F.array(
+            *[F.filter(base, (lambda k: lambda s: s["kind"] == k)(k)) for k in KINDS],
+            *[F.filter(loose, (lambda p: lambda s: _pattern_of(s) == p)(p)) for p in _PATTERNS],
+        ),
+        lambda lists: F.filter(loose, lambda s: ~_taken(s, lists)),
+    )
+    chosen = F.when(F.size(loose) > 0, F.concat(base, added)).otherwise(base)
     order = F.array_sort(
         F.transform(
             chosen,
@@ -295,27 +324,40 @@ def spans_text(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every found span replaced by its kind in brackets; its other columns stay."""
+    """``docs`` with every found span replaced by its kind in brackets; its other columns stay.
+
+    Spans that overlap are replaced together, by the kind of the first.
+    """
     found = find(packed(docs))
     text = F.col(ROW)["text"]
     by_start = F.array_sort(
         F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
-    rebuilt = F.aggregate(
+
+    def rebuilt(spans: Column, ends: Column) -> Column:
+        heads = F.filter(
+            F.transform(spans, lambda s, i: F.when((i == 0) | (s["start"] >= F.get(ends, i - 1)), i)),
+            lambda i: i.isNotNull(),
+        )
+        return let(heads, lambda h: let(in_blocks(text), lambda blocks: joined(spans, ends, h, blocks)))
+
+    def joined(spans: Column, ends: Column, heads: Column, blocks: Column) -> Column:
+        before = lambda i: F.when(i == 0, 0).otherwise(F.get(ends, i - 1))
+        pieces = F.transform(
+            heads,
+            lambda i: F.concat(
+                cut(blocks, before(i), F.get(spans, i)["start"]), F.lit("["), F.upper(F.get(spans, i)["kind"]), F.lit("]")
+            ),
+        )
+        return F.concat(
+            F.array_join(pieces, ""), cut(blocks, F.get(ends, F.size(ends) - 1), F.length(text))
+        )
+
+    changed = let(
         by_start,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.when(s["start"] < a["at"], a).otherwise(
-            F.struct(
-                s["end"].alias("at"),
-                F.concat(
-                    a["out"],
-                    F.substring(text, a["at"] + 1, s["start"] - a["at"]),
-                    F.lit("["),
-                    F.upper(s["kind"]),
-                    F.lit("]"),
-                ).alias("out"),
-            )
+        lambda spans: let(
+            running(F.transform(spans, lambda s: s["end"]), lambda a, x: F.greatest(a, x)),
+            lambda ends: rebuilt(spans, ends),
         ),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text) - a["at"])),
     )
-    return found.select(*unpacked(docs, F.when(F.size("found") > 0, rebuilt).otherwise(text)))
+    return found.select(*unpacked(docs, F.when(F.size("found") > 0, changed).otherwise(text)))
