@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import below, let, partitions_for
+from .common import below, let, partitions_for, smallest_hashes
 
 # Keys of the sample that ranges are cut at.
 SAMPLE_KEYS = 4096
@@ -108,15 +108,11 @@ def _stacks(rules: DataFrame) -> DataFrame:
 
 def _bounds(keyed: DataFrame, blocks: int) -> list[str]:
     """Quantiles of a bounded sample of keys: rows with the smallest hashes."""
-    sample = (
-        keyed.select(
-            F.regexp_replace(F.substring("key", 1, SAMPLE_KEY_CHARS), r"[^.]*\z", "").alias("key"),
-            F.xxhash64("page_id", "path").alias("h"),
-        )
-        .orderBy("h")
-        .limit(SAMPLE_KEYS)
-        .collect()
+    rows = keyed.select(
+        F.regexp_replace(F.substring("key", 1, SAMPLE_KEY_CHARS), r"[^.]*\z", "").alias("key"),
+        F.xxhash64("page_id", "path").alias("h"),
     )
+    sample = smallest_hashes(rows, [F.col("h")], SAMPLE_KEYS, keyed.count()).collect()
     keys = sorted((r["key"] for r in sample), key=lambda k: k.encode())
     return [keys[len(keys) * i // blocks] for i in range(1, blocks)] if keys else []
 
