@@ -126,6 +126,58 @@ def test_personal_data(docs):
     assert cleaned.filter("text is null").count() == 1 and pii.find(_empty(docs)).count() == 0
 
 
+def _base_spans(text):
+    """Base spans by Python's own search: leftmost, non-overlapping per kind."""
+
+    def luhn(digits):
+        doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+        return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+    digits = lambda t: re.sub("[^0-9]", "", t)
+    kinds = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda t: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda t: all(int(p) <= 255 for p in t.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda t: 13 <= len(digits(t)) <= 19 and luhn(digits(t))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: 9 <= len(digits(t)) <= 15),
+    ]
+    return [f"{k}:{m.start()}:{m.end()}" for k, p, ok in kinds for m in re.finditer(p, text) if ok(m[0])]
+
+
+def test_personal_data_against_plain_search(spark):
+    rng = random.Random(9)
+    parts = ["a", "b@c.de", ".", "+", " ", "-", "12", "4111 1111 1111 1111", "7.7.7.7", "@", "(", ")", "é", "0", "x.y"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(1500)]
+    texts.append(" ".join(rng.choice(["me@there.org", "10.1.2.3,", "word"]) for _ in range(3000)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    base = F.filter("found", lambda s: s["base"])
+    found = {r.doc_id: r.s for r in pii.find(docs).select("doc_id", pii.spans_text(base).alias("s")).collect()}
+    assert [i for i, t in enumerate(texts) if found[i] != ",".join(_base_spans(t))] == []
+
+
+def test_personal_data_in_a_very_long_text(spark):
+    parts = [f"from 10.0.{i % 256}.{i % 300} to u{i}@mail.com" for i in range(20_000)]
+    docs = spark.createDataFrame([(1, ", ".join(parts))], "doc_id long, text string")
+    begun = time.monotonic()
+    found = pii.find(docs).select(F.expr("filter(found, s -> s.base)").alias("f")).first().f
+    assert len(found) == 20_000 + sum(i % 300 <= 255 for i in range(20_000))
+    cleaned = pii.redact(docs).first().text.split(", ")
+    assert [p for p, old in zip(cleaned, parts, strict=True) if not p.endswith(" to [EMAIL]") or "u" in p] == []
+    assert time.monotonic() - begun < 120
+
+
+def test_personal_data_that_overlaps_is_replaced_once(spark):
+    docs = spark.createDataFrame([(1, "call 10.0.0.1@mail.com now")], "doc_id long, text string")
+    assert pii.redact(docs).first().text == "call [IP] now"
+
+
+def test_running_sums(spark):
+    from billweave.llm.common import running
+
+    rows = [(list(range(n)),) for n in (0, 1, 255, 256, 257, 70_000)]
+    table = spark.createDataFrame(rows, "v array<int>").select("v", running(F.col("v"), lambda a, x: a + x).alias("r"))
+    assert all(r.r == np.cumsum(np.asarray(r.v, np.int32), dtype=np.int32).tolist() for r in table.collect())
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
 
@@ -210,8 +262,60 @@ def test_fingerprints_hold_all_names():
     rng = random.Random(6)
     one, two, shared = ("".join(rng.choices("abcdefgh ", k=k)) for k in (30_000, 30_000, 1000))
     a, b = fingerprints.sketches([one + shared, shared + two])
-    assert len(a[2]) > 500 and fingerprints.as_text(a).count(",") == sum(map(len, a)) - 3
-    assert fingerprints.likeness(a, b) == len({*a[2]} & {*b[2]}) / len({*a[2]} | {*b[2]}) > 0.005
+    assert len(a[2]) > 500 and fingerprints.as_text(a).count(",") == sum(map(len, a)) - len(a)
+    assert len(a) > 6 and len(a[-1]) == 1 and len(a[-2]) > 1
+    both = sum(3**i * len({*x} & {*y}) for i, (x, y) in enumerate(zip(a, b)))  # noqa: B905
+    either = sum(3**i * len({*x}) for i, x in enumerate([*a, *b][: len(a)])) + sum(3**i * len({*y}) for i, y in enumerate(b))
+    assert fingerprints.likeness(a, b) == pytest.approx(both / (either - both)) and both > 0
+    assert fingerprints.sketches(["", "x", "xx", ""])[0] == [] and fingerprints.likeness([], a) == 0.0
+
+
+def _phrases(symbols, level):
+    """The parsing of one text written as loops over plain numbers."""
+    full = (1 << 64) - 1
+    step = 0x9E3779B97F4A7C15
+
+    def mixed(x):
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & full
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & full
+        return x ^ (x >> 31)
+
+    runs = []
+    for s in symbols:
+        if runs and runs[-1][0] == s:
+            runs[-1][1] += 1
+        else:
+            runs.append([s, 1])
+    joined = [mixed((s + n * step) & full) for s, n in runs]
+    labels, bits = joined, 64
+    for _ in range(3):
+        tossed = []
+        for i, label in enumerate(labels):
+            left = labels[i - 1] if i else ~label & ((1 << bits) - 1)
+            differing = label ^ left
+            place = (differing & -differing).bit_length() - 1
+            tossed.append(2 * place + (label >> place & 1))
+        labels, bits = tossed, 8
+    phrases = []
+    for i, label in enumerate(labels):
+        left, right = (labels[i - 1] if i else -1), (labels[i + 1] if i + 1 < len(labels) else -1)
+        if i == 0 or (label > left and label > right):
+            phrases.append([])
+        phrases[-1].append(joined[i])
+    return [
+        mixed(sum(mixed((s + (k + level + 1) * step) & full) for k, s in enumerate(phrase)) & full) for phrase in phrases
+    ]
+
+
+def test_fingerprints_against_slow_parsing():
+    rng = random.Random(3)
+    texts = ["", "a", "aaaa", "ab" * 50, *["".join(rng.choices("abc é\n", k=rng.randint(1, 3000))) for _ in range(12)]]
+    for text, got in zip(texts, fingerprints.sketches(texts), strict=True):
+        symbols, want = [ord(c) for c in text], []
+        while len(symbols) > (1 if want else 0):
+            symbols = _phrases(symbols, len(want))
+            want.append(sorted({s >> 20 for s in symbols}))
+        assert got == want
 
 
 def test_toxicity(spark):
@@ -235,6 +339,32 @@ def test_toxicity(spark):
     assert toxicity.score(docs, toxicity.train(docs, labels.filter("toxic = 0"))).filter("score > 0.3").count() == 0
 
 
+def test_toxicity_of_terms_that_tell_only_together(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(2400):
+        words = [f"plain{rng.randint(0, 400)}" for _ in range(20)]
+        words += [["insult", "group"], ["insult"], ["group"], []][i % 4]
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(2400)], "doc_id long, toxic int")
+    held = [r for r in toxicity.score(docs, toxicity.train(docs, labels)).collect() if r.held_out]
+    wrong = [r for r in held if r.predicted != (r.doc_id % 4 == 0)]
+    assert len(held) > 500 and len(wrong) <= len(held) // 50
+
+
+def test_toxicity_sample_is_bounded(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"t{i}") for i in range(50)] + [(i, "x y z") for i in range(100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)] * 2, "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "SAMPLE_TEXT_TERMS", 2)
+    rows, counts = toxicity.sample(docs, labels, per_class=5)
+    assert sorted(r.toxic for r in rows.collect()) == [0] * 5 + [1] * 5
+    assert all(len(r.terms) <= 2 for r in rows.collect()) and sum(counts.values()) < 100
+    machine = toxicity.train(docs.filter("false"), labels)
+    assert toxicity.score(docs.filter("false"), machine).count() == 0
+
+
 def test_line_dedup(docs):
     result = line_dedup.dedup(docs)
     assert result.columns == docs.columns and result.count() == docs.count()
