@@ -264,9 +264,9 @@ def test_fingerprints_hold_all_names():
     a, b = fingerprints.sketches([one + shared, shared + two])
     assert len(a[2]) > 500 and fingerprints.as_text(a).count(",") == sum(map(len, a)) - len(a)
     assert len(a) > 6 and len(a[-1]) == 1 and len(a[-2]) > 1
-    both = sum(3**i * len({*x} & {*y}) for i, (x, y) in enumerate(zip(a, b)))  # noqa: B905
-    either = sum(3**i * len({*x}) for i, x in enumerate([*a, *b][: len(a)])) + sum(3**i * len({*y}) for i, y in enumerate(b))
-    assert fingerprints.likeness(a, b) == pytest.approx(both / (either - both)) and both > 0
+    weight = lambda names: sum(fingerprints.GROWTH**i for i, _ in names)
+    one, two = ({(i, n) for i, names in enumerate(f) for n in names} for f in (a, b))
+    assert fingerprints.likeness(a, b) == pytest.approx(weight(one & two) / weight(one | two)) and one & two
     assert fingerprints.sketches(["", "x", "xx", ""])[0] == [] and fingerprints.likeness([], a) == 0.0
 
 
@@ -299,7 +299,7 @@ def _phrases(symbols, level):
     phrases = []
     for i, label in enumerate(labels):
         left, right = (labels[i - 1] if i else -1), (labels[i + 1] if i + 1 < len(labels) else -1)
-        if i == 0 or (label > left and label > right):
+        if i == 0 or (i > 1 and label > left and label > right):
             phrases.append([])
         phrases[-1].append(joined[i])
     return [
