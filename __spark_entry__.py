@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
+from datetime import date
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -109,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "landed_report": _landed_report,
         "appended_parquet": _appended_parquet,
         "row_bounded_ingest": _row_bounded_ingest,
+        "compacted_ingest": _compacted_ingest,
         "merged_states_overview": _merged_states_overview,
         "catalog_table": _catalog_table,
         "table_lifecycle": _table_lifecycle,
@@ -248,6 +250,18 @@ def _row_bounded_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(raw.name).groupBy("ingest_batch").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _compacted_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """A raw table filled in three batches, the folders of its closed periods merged after each, and read back."""
+    run, raw = uuid.uuid4().hex, raw_report(spark, folder)
+    table = RawTable(SESSION_CATALOG, f"compacted_{run}", bad_values="null")
+    table.create(spark)
+    third = F.col("identity_line_item_id").cast("long") % 3
+    for n in range(3):
+        table.add_batch(raw.filter(third == n), f"batch-{n}")
+        table.compact(spark, date(1996, 1, 1), [f"batch-{n}"])
+    return table.read(spark).select(*landing_schema().names)
+
+
 def _catalog_table(spark: SparkSession, folder: str) -> DataFrame:
     """Staging from a raw table that the environment names."""
     table = f"report_{uuid.uuid4().hex}"

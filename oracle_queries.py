@@ -201,6 +201,7 @@ union all select 'daily_instance_report', count(*) from ({_rollup(INSTANCE_DIMEN
         "csv_folder": f"with {RAW} select {_listed(f"nullif({c}, '') as {c}" for c in REPORT_COLUMNS)} from raw",
         "csv_catalog": f"with {RAW} select {_listed(f"nullif({c}, '') as {c}" for c in REPORT_COLUMNS)} from raw",
         "landed_report": f"{_staging()} select * from staging",
+        "compacted_ingest": f"with {RAW} select {_listed(map(_landed, REPORT_COLUMNS))} from raw",
         "merged_states_overview": f"{OVERVIEW} select * from overview",
         "appended_parquet": "select count(*) as n_rows from lineitem",
         "row_bounded_ingest": f"""with total as (select count(*) as n from lineitem)
