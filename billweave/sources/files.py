@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from pathlib import PurePosixPath
 
@@ -14,8 +15,8 @@ CORRUPT_COLUMN = "_corrupt_record"
 
 # Quotes inside quoted fields are doubled, as in the JSON text of the product column.
 CSV_FORMAT = {"header": "true", "quote": '"', "escape": '"'}
-# Files whose first lines are read by one job.
-HEADERS_AT_ONCE = 200
+# Files whose first lines are read at the same time, each by a job of its own.
+HEADERS_AT_ONCE = 16
 
 
 def read_csv_report(
@@ -100,18 +101,24 @@ def csv_files(spark: SparkSession, folder: str) -> list[str]:
 
 
 def csv_headers(spark: SparkSession, files: list[str]) -> dict[str, tuple[str, ...]]:
-    """The column names of each file. A file without a line is left out; of the others only the first is read."""
+    """The column names of each file. A file without a line is left out; of the others only the first is read.
+
+    A file may be read in splits: the first line is that of the split at place 0, which comes first in the first task.
+    """
+
+    def first_line(file: str) -> str | None:
+        row = spark.read.text(file).filter("_metadata.file_block_start = 0").first()
+        return row.value if row else None
+
     found: dict[str, tuple[str, ...]] = {}
-    for begin in range(0, len(files), HEADERS_AT_ONCE):
-        lines = [
-            spark.read.text(file).limit(1).select(F.lit(file).alias("file"), "value")
-            for file in files[begin : begin + HEADERS_AT_ONCE]
-        ]
-        for row in reduce(DataFrame.union, lines).collect():
-            names = tuple(next(csv.reader([row.value.removeprefix("﻿")])))
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        for file, line in zip(files, pool.map(first_line, files)):
+            if line is None:
+                continue
+            names = tuple(next(csv.reader([line.removeprefix("\ufeff")])))
             if len({n.lower() for n in names}) < len(names):
-                raise ValueError(f"{row.file} names a column twice")
-            found[row.file] = names
+                raise ValueError(f"{file} names a column twice")
+            found[file] = names
     return found
 
 

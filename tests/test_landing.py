@@ -81,6 +81,22 @@ def test_csv_folder_with_other_column_orders(spark, tmp_path):
         read_csv_folder(spark, str(tmp_path / "none"))
 
 
+def test_headers_of_csv_files_in_many_splits(spark, tmp_path):
+    from billweave.sources.files import csv_headers
+
+    for name, header in {"one": "a,b", "two": "b,a"}.items():
+        (tmp_path / f"{name}.csv").write_text(header + "\n" + "".join(f"{i},x{i}\n" for i in range(3000)))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.openCostInBytes", "64")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        found = csv_headers(spark, [str(tmp_path / "two.csv"), str(tmp_path / "one.csv")])
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert list(found.values()) == [("b", "a"), ("a", "b")]
+
+
 @pytest.mark.parametrize("bad_lines", ["fail", "null"])
 def test_csv_files_of_other_headers_are_not_mixed_up(spark, tmp_path, bad_lines):
     (tmp_path / "1.csv").write_text("a,b\n1,2\n")
