@@ -15,6 +15,9 @@ CORRUPT_COLUMN = "_corrupt_record"
 
 # Quotes inside quoted fields are doubled, as in the JSON text of the product column.
 CSV_FORMAT = {"header": "true", "quote": '"', "escape": '"'}
+# Endings of CSV files, compressed or not.
+CSV_FILES = "*.{csv,csv.gz,csv.bz2,csv.deflate,csv.lz4,csv.snappy}"
+_PACKED = (".gz", ".bz2", ".deflate", ".lz4", ".snappy")
 # Files whose first lines are read at the same time, each by a job of its own.
 HEADERS_AT_ONCE = 16
 
@@ -95,8 +98,8 @@ def read_csv_folder(
 
 
 def csv_files(spark: SparkSession, folder: str) -> list[str]:
-    """The CSV files under a folder, sub-folders included; only listed, not read."""
-    listed = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(folder)
+    """The CSV files under a folder, sub-folders included, compressed ones too; only listed, not read."""
+    listed = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=CSV_FILES).load(folder)
     return sorted(r.path for r in listed.select("path").collect())
 
 
@@ -131,7 +134,7 @@ def register_csv_folder(spark: SparkSession, folder: str, files: list[str] | Non
     if files is None:
         marker = "/" + root.rsplit("/", 1)[-1] + "/"
         files = sorted({f.rsplit(marker, 1)[-1].split("/")[0] for f in csv_files(spark, root)})
-    views = [PurePosixPath(file).stem for file in files]
+    views = [_stem(file) for file in files]
     if len({v.lower() for v in views}) < len(views):
         raise ValueError("two files of the folder have the same name but for their ending or case")
     for view, file in zip(views, files):
@@ -139,6 +142,11 @@ def register_csv_folder(spark: SparkSession, folder: str, files: list[str] | Non
     return views
 
 
+def _stem(file: str) -> str:
+    path = PurePosixPath(file)
+    return PurePosixPath(path.stem).stem if path.suffix in _PACKED else path.stem
+
+
 def read_parquet_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Parquet files by file, pattern or folder, sub-folders included; fails when there are none."""
     paths = [path] if isinstance(path, str) else path

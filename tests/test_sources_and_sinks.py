@@ -1,3 +1,4 @@
+import gzip
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,3 +186,18 @@ def test_event_objects_of_any_depth_and_between_braces(spark):
     assert {r["_line"] for r in rows} == {None, "1.50"}
     with pytest.raises(Exception, match="separator"):
         event_records(spark.createDataFrame([('{"_file": "cut", ',)], "value string")).collect()
+
+
+def test_csv_files_are_packed(spark, tmp_path):
+    from billweave.sources.files import read_csv_folder
+
+    rows = spark.range(50_000).selectExpr("cast(id as string) id", "concat('the same text in every line ', id % 3) text").coalesce(1)
+    for name, compression in {"packed": "gzip", "plain": "none"}.items():
+        write_csv(rows, str(tmp_path / f"{name}.csv"), compression)
+    size = {n: sum(f.stat().st_size for f in (tmp_path / f"{n}.csv").glob("part-*")) for n in ("packed", "plain")}
+    assert 3 * size["packed"] < size["plain"]
+    (tmp_path / "three.csv.gz").write_bytes(gzip.compress(b"text,id\nt,x\n"))
+    assert register_csv_folder(spark, str(tmp_path)) == ["packed", "plain", "three"]
+    assert spark.table("packed").exceptAll(rows).isEmpty() and spark.table("packed").count() == 50_000
+    found = read_csv_folder(spark, str(tmp_path), ["id", "text"])
+    assert found.count() == 100_001 and [r.text for r in found.filter("id = 'x'").collect()] == ["t"]
