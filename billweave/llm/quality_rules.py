@@ -28,8 +28,8 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 # Hash buckets of words and of shape pairs, each.
 BUCKETS = 4096
-# At most so many trusted documents are used; those with the smallest hash of their doc_id.
-TRUSTED_DOCS = 20_000
+# Ids of trusted documents are broadcast up to so many; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 # N-grams of ratio 0 that every document is taken to have besides its own.
 PRIOR_NGRAMS = 40
 # A document is rejected below: median of trusted scores - SPREADS * (median - 5 % quantile).
@@ -112,17 +112,15 @@ def _bucketed(docs: DataFrame) -> DataFrame:
     return hashed.select("doc_id", ngram_buckets(F.col("word_hashes"), F.col("text")).alias("buckets"))
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED_DOCS) -> DataFrame:
-    """Ids of trusted documents (quality 1), at most ``limit`` of them: small enough to broadcast."""
+def trusted_ids(labels: DataFrame, broadcast: int = BROADCAST_IDS) -> DataFrame:
+    """Ids of all trusted documents (quality 1); marked for a broadcast if there are at most ``broadcast`` of them."""
     ids = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    return F.broadcast(ids) if ids.count() <= broadcast else ids
 
 
 def fit_ratio(docs: DataFrame, trusted: DataFrame) -> list[float] | None:
     """Log ratios per bucket; all documents are counted. None without trusted documents."""
-    marked = docs.select("doc_id", "text").join(
-        F.broadcast(trusted.withColumn("is_trusted", F.lit(1))), "doc_id", "left"
-    )
+    marked = docs.select("doc_id", "text").join(trusted.withColumn("is_trusted", F.lit(1)), "doc_id", "left")
     hashed = marked.select(
         text_of().alias("text"), F.coalesce("is_trusted", F.lit(0)).alias("is_trusted")
     ).select("is_trusted", "text", F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)).alias("word_hashes"))
@@ -155,7 +153,7 @@ def _score(buckets: Column, ratios: list[float]) -> Column:
 
 def fit_threshold(docs: DataFrame, trusted: DataFrame, ratios: list[float]) -> float:
     """The score below which documents are rejected, from the trusted documents' scores."""
-    scored = _bucketed(docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left_semi")).select(
+    scored = _bucketed(docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi")).select(
         _score(F.col("buckets"), ratios).alias("score")
     )
     low, middle = scored.agg(F.percentile_approx("score", [0.05, 0.5], 10_000)).first()[0]

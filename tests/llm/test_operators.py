@@ -170,6 +170,15 @@ def test_personal_data_that_overlaps_is_replaced_once(spark):
     assert pii.redact(docs).first().text == "call [IP] now"
 
 
+def test_all_trusted_documents_count(spark):
+    rows = [(i, f"word{i % 7} and some more", 1) for i in range(20_100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    few, many = quality_rules.trusted_ids(docs, broadcast=100), quality_rules.trusted_ids(docs)
+    assert few.count() == many.count() == 20_100
+    small = docs.filter("doc_id < 300")
+    assert quality_rules.fit_ratio(small, few) == quality_rules.fit_ratio(small, many)
+
+
 def test_running_sums(spark):
     from billweave.llm.common import running
 
