@@ -29,6 +29,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Characters of an object at most; a longer one is cut.
 LONGEST_OBJECT = 1 << 18
+# Characters that are looked at first for an object, and by how many times more if it doesn't end there. The errors of
+# the decoder count lines from the beginning of its text, so many of them in a long text would cost its square.
+_WINDOW, _WIDER = 1 << 12, 8
+# A token that the end of a window cuts (a literal, a number, an escape) is reported at most so many characters before.
+_TOKEN = 16
 _PLACE = ["file", "split", "start"]
 _EDGE = ["n_chars", "head", "tail"]
 _SCANNED = "file string, split long, start long, " + ", ".join(f"`{c}` string" for c in REPORT_COLUMNS)
@@ -155,14 +160,22 @@ class _Split:
 
 def _decoded(decoder: json.JSONDecoder, text: str, at: int) -> tuple[dict | None, int | None]:
     """The record of the object at a brace, if it has one, and where to go on; None where the text ends inside it."""
-    try:
-        found, end = decoder.raw_decode(text, at)
-    except RecursionError:
-        return None, at + 1
-    except json.JSONDecodeError as error:
-        ends = error.pos >= len(text.rstrip()) or (error.msg.startswith("Unterminated string") and "\n" not in text[error.pos :].rstrip("\n"))
-        return None, None if ends else at + 1
-    return record_of(found), end
+    size = _WINDOW
+    while True:
+        part = text[at : at + size]
+        whole = at + len(part) == len(text)
+        try:
+            found, end = decoder.raw_decode(part)
+        except RecursionError:
+            return None, at + 1
+        except json.JSONDecodeError as error:
+            unterminated = error.msg.startswith("Unterminated string")
+            if not whole and (unterminated or error.pos >= len(part) - _TOKEN):
+                size *= _WIDER
+                continue
+            ends = whole and (error.pos >= len(part.rstrip()) or (unterminated and "\n" not in part[error.pos :].rstrip("\n")))
+            return None, None if ends else at + 1
+        return record_of(found), at + end
 
 
 def _refuse(cut_rows: str, text: str, at: int) -> None:

@@ -1,5 +1,6 @@
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,6 +153,19 @@ def test_log_objects_across_lines_and_splits(spark, tmp_path):
     assert sorted(map(str, found)) == sorted(map(str, expected))
 
 
+def test_log_scan_is_linear_in_braces():
+    from billweave.sources.log_scan import _Split
+
+    one = 'INFO [worker {7}] {job {"_file": "a", "_line": 1}} and {\n' + '{"_file": "' + "b" * 9000 + '", "product": {"a": [true, "}"]}}\n'
+    for cut in (3000, 4096 - 12, 4096 - 3, 4096 - 1, 4096):  # tokens of all kinds cut by the end of a window
+        for token in ("false", "-12.5e+3", '"\\u00e9"', '"text"', "null"):
+            text = '{"_file": "' + "c" * (cut - 30) + '", "_line": ' + token + "}\n"
+            assert _Split(("f", 0), "fail", 1 << 18).add(text + one).num_rows == 3
+    began = time.monotonic()
+    found = _Split(("f", 0), "fail", 1 << 18).add(one * 1000 + "{ } x {\n" * 100_000)
+    assert found.num_rows == 2000 and time.monotonic() - began < 20
+
+
 def test_cut_log_objects(spark, tmp_path):
     (tmp_path / "log").write_text('{"_file": "a"}\nINFO set {a} and {\n{"_file": "b", \n')
     with pytest.raises(Exception, match="does not end"):

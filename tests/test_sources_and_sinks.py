@@ -1,4 +1,5 @@
 import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
