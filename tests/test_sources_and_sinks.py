@@ -202,3 +202,39 @@ def test_csv_files_are_packed(spark, tmp_path):
     assert spark.table("packed").exceptAll(rows).isEmpty() and spark.table("packed").count() == 50_000
     found = read_csv_folder(spark, str(tmp_path), ["id", "text"])
     assert found.count() == 100_001 and [r.text for r in found.filter("id = 'x'").collect()] == ["t"]
+
+
+def test_texts_of_few_values_are_made_before_the_join(spark, tmp_path):
+    from billweave.schema import REPORT_COLUMNS
+    from billweave.sources.star_schema import _PREPARED, FILLED_COLUMNS, raw_report
+
+    keys = [None, -26, -1, 0, 1, 2, 7, 24, 25, 32]
+    parts = [None, -5, -3, 0, 1, 2, 100, 149]
+    days = [None, "1997-12-31 00:00:00", "1998-01-01 00:00:00"]
+    spark.sql("select explode(sequence(0, 479)) as i").selectExpr(
+        "i as l_orderkey",
+        f"element_at(array({', '.join(f'cast({k} as bigint)' if k is not None else 'null' for k in parts)}), 1 + i % 8) as l_partkey",
+        f"element_at(array({', '.join(f'cast({k} as bigint)' if k is not None else 'null' for k in keys)}), cast(1 + i div 8 % 10 as int)) as l_suppkey",
+        "if(i % 11 = 0, null, 1 + i % 7) as l_linenumber",
+        "cast(i as double) as l_quantity", "i * 1.5d as l_extendedprice", "i % 3 / 100d as l_discount", "i % 5 / 100d as l_tax",
+        "element_at(array('A', 'N', 'R', null), 1 + i % 4) as l_returnflag", "if(i % 2 = 0, 'O', 'F') as l_linestatus",
+        f"cast(element_at(array({', '.join(repr(d) if d else 'null' for d in days)}), 1 + i % 3) as timestamp_ntz) as l_shipdate",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame(
+        [(k, k % 5) for k in range(25)] + [(7, 3), (-1, 2), (2, None), (None, 1), (2**62, 1)], "n_nationkey long, n_regionkey long"
+    ).write.parquet(str(tmp_path / "nation.parquet"))
+
+    plain = spark.read.parquet(str(tmp_path / "lineitem.parquet")).join(
+        spark.read.parquet(str(tmp_path / "nation.parquet")), F.expr("l_suppkey % 25 = n_nationkey")
+    )
+    era = "case when year(l_shipdate) < 1998 then ' (old)' else '' end"
+    service = "case l_partkey % 3 when 0 then 'Compute' when 1 then 'Storage' else 'Network' end"
+    for name, sql in {**_PREPARED, "era": era, "service": service}.items():
+        plain = plain.withColumn(name, F.expr(sql))
+    plain = plain.select(*[F.expr(FILLED_COLUMNS[c]).alias(c) for c in REPORT_COLUMNS])
+    report = raw_report(spark, str(tmp_path))
+    assert report.count() == plain.count() > 300
+    assert report.exceptAll(plain).isEmpty() and plain.exceptAll(report).isEmpty()
+
+    lines = report._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "payer " not in lines and "monthly fee of " not in lines
