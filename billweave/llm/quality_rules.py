@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .common import SPACE_CHARS, carried, let, number_array, packed, text_of, unpacked, words_of
 
 SYMBOLS = "#*$%&|<>"
+# A power of two.
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -43,33 +44,52 @@ def base_counts(docs: DataFrame) -> DataFrame:
     counted = docs.select("doc_id", text_of().alias("text"), *rest).select(
         "doc_id", "text", words_of(text).alias("words"), *rest
     )
-    hashed = counted.select("*", F.transform("words", lambda w: F.xxhash64(w)).alias("word_hashes"))
-    n = F.size("word_hashes")
-    grams = F.when(
-        n >= WINDOW,
-        let(
-            F.col("word_hashes"),
-            lambda h: F.transform(
-                F.sequence(F.lit(1), F.size(h) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(h, i, WINDOW))
-            ),
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.length(F.translate(line, SPACE_CHARS, "")) > 0)
-    split = hashed.select("doc_id", "text", "word_hashes", grams.alias("grams"), lines.alias("lines"), *rest)
+    hashed = counted.select(
+        "doc_id",
+        "text",
+        F.transform("words", lambda w: F.xxhash64(w)).alias("word_hashes"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        *rest,
+    )
+    grams = F.when(F.size("word_hashes") >= WINDOW, _windows(F.col("word_hashes"))).otherwise(
+        F.array().cast("array<bigint>")
+    )
+    lines = F.filter(F.split(text, "\n"), lambda line: F.ltrim(line, F.lit(SPACE_CHARS)) != "")
+    split = hashed.select("doc_id", "text", "word_hashes", "word_chars", grams.alias("grams"), lines.alias("lines"), *rest)
     repeats = F.size(F.array_distinct("grams")) < F.size("grams")
     return split.select(
         "doc_id",
         "text",
         "word_hashes",
         F.size("word_hashes").cast("long").alias("n_words"),
-        F.length(F.translate(text, SPACE_CHARS, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        "word_chars",
+        F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(repeats, _covered(F.col("grams"))).otherwise(0).cast("long").alias("n_repeat_words"),
         *rest,
     )
 
 
+def _windows(hashes: Column) -> Column:
+    """A hash of each window of ``WINDOW`` words, made of those of its halves, and these of theirs."""
+
+    def doubled(halves: Column, width: int) -> Column:
+        def pairs(n: Column) -> Column:
+            later = F.slice(halves, F.lit(width + 1), n)
+            return F.zip_with(F.slice(halves, F.lit(1), n), later, lambda a, b: F.xxhash64(a, b))
+
+        return let(F.size(halves) - width, pairs)
+
+    def doubled_once(halves: Column, width: int) -> Column:
+        return let(halves, lambda h: doubled(h, width))  # a second argument of the lambda would be its index
+
+    width = 1
+    while width < WINDOW:
+        hashes = doubled_once(hashes, width)
+        width *= 2
+    return hashes
+
+
 def _covered(grams: Column) -> Column:
     """Number of words inside windows whose hash is found twice or more."""
 
@@ -93,23 +113,22 @@ def _covered(grams: Column) -> Column:
 
 def ngram_buckets(word_hashes: Column, text: Column) -> Column:
     """Bucket numbers of a text's words (0 up to BUCKETS) and shape pairs (BUCKETS up to 2 * BUCKETS)."""
+    return F.concat(F.transform(word_hashes, _word_bucket), _shape_buckets(text))
+
+
+def _word_bucket(word_hash: Column) -> Column:
+    return F.pmod(word_hash, F.lit(BUCKETS)).cast("int")
+
+
+def _shape_buckets(text: Column) -> Column:
     shape = F.regexp_replace(F.regexp_replace(text, r"\p{L}+", "a"), r"\p{N}+", "0")
     shapes = F.transform(words_of(shape), lambda w: F.xxhash64(w))
-    pairs = let(
+    return let(
         shapes,
         lambda s: F.transform(
             s, lambda h, i: (F.pmod(F.xxhash64(h, F.get(s, i + 1)), F.lit(BUCKETS)) + BUCKETS).cast("int")
         ),
     )
-    singles = F.transform(word_hashes, lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int"))
-    return F.concat(singles, pairs)
-
-
-def _bucketed(docs: DataFrame) -> DataFrame:
-    hashed = docs.select("doc_id", text_of().alias("text")).select(
-        "doc_id", "text", F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)).alias("word_hashes")
-    )
-    return hashed.select("doc_id", ngram_buckets(F.col("word_hashes"), F.col("text")).alias("buckets"))
 
 
 def trusted_ids(labels: DataFrame, broadcast: int = BROADCAST_IDS) -> DataFrame:
@@ -145,17 +164,19 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame) -> list[float] | None:
     return ratios
 
 
-def _score(buckets: Column, ratios: list[float]) -> Column:
+def _score(word_hashes: Column, text: Column, ratios: list[float]) -> Column:
+    """The ratios of a text's :func:`ngram_buckets`, which are as many shape pairs as words, added up in their order."""
     model = number_array(ratios)
-    total = F.aggregate(buckets, F.lit(0.0), lambda a, b: a + F.get(model, b))
-    return total / (F.size(buckets) + PRIOR_NGRAMS)
+    words = F.aggregate(word_hashes, F.lit(0.0), lambda a, h: a + F.get(model, _word_bucket(h)))
+    total = F.aggregate(_shape_buckets(text), words, lambda a, b: a + F.get(model, b))
+    return total / (2 * F.size(word_hashes) + PRIOR_NGRAMS)
 
 
 def fit_threshold(docs: DataFrame, trusted: DataFrame, ratios: list[float]) -> float:
     """The score below which documents are rejected, from the trusted documents' scores."""
-    scored = _bucketed(docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi")).select(
-        _score(F.col("buckets"), ratios).alias("score")
-    )
+    texts = docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi").select(text_of().alias("text"))
+    hashed = texts.select("text", F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)).alias("word_hashes"))
+    scored = hashed.select(_score(F.col("word_hashes"), F.col("text"), ratios).alias("score"))
     low, middle = scored.agg(F.percentile_approx("score", [0.05, 0.5], 10_000)).first()[0]
     return middle - SPREADS * max(middle - low, 1e-3)
 
@@ -175,7 +196,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = counted.select(
         *columns,
         failed.alias("base_failed"),
-        _score(ngram_buckets(F.col("word_hashes"), F.col("text")), ratios).alias("score"),
+        _score(F.col("word_hashes"), F.col("text"), ratios).alias("score"),
     )
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 

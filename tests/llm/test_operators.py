@@ -512,3 +512,26 @@ def test_language_model_has_one_formula(docs, monkeypatch, most_split):
     got = sorted((str(r.doc_id), r.score) for r in language_model.score(docs).collect())
     for (i, score, tokens), (name, found) in zip(want, got, strict=True):
         assert i == name and abs(score - found) <= 1e-4 * tokens + 1e-6
+
+
+def test_windows_of_words_are_hashed_by_halves(spark):
+    """Words inside windows that are found twice, against a count in Python; no window is cut out of the text."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abc") for _ in range(n)) for n in (0, 7, 8, 9, 15, 16, 60, 400)]
+    texts += ["\x0b\t \n x&# \n\x0c\n x&# \n", "é|ü  <é>\r\n$", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counted = quality_rules.base_counts(docs)
+    assert "translate(" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    for row in counted.collect():
+        text = texts[row.doc_id] or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+        inside = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(8)}
+        lines = [line for line in text.split("\n") if line.strip(" \t\n\x0b\x0c\r")]
+        assert (row.n_words, row.n_repeat_words) == (len(words), len(inside))
+        assert row.word_chars == sum(map(len, words))
+        assert row.n_symbols == sum(text.count(c) for c in "#*$%&|<>")
+        assert row.n_dup_lines == len(lines) - len(set(lines))
+    hashes = spark.createDataFrame([([1, 2, 3] * 5,)], "h array<long>")
+    windows = hashes.select(quality_rules._windows(F.col("h"))).first()[0]
+    assert len(windows) == 8 and len(set(windows)) == 3 and windows[:3] == windows[3:6]
