@@ -9,6 +9,7 @@ from billweave.functions.casts import (
     lenient_number,
     lenient_time,
     maybe_infinite_number,
+    no_number,
     strict,
     typed_value,
     unreadable,
@@ -32,6 +33,7 @@ __all__ = [
     "lenient_number",
     "lenient_time",
     "maybe_infinite_number",
+    "no_number",
     "product_name",
     "quote_name",
     "quote_text",

@@ -120,7 +120,13 @@ def ingest_value(text: str, kind: str) -> Column:
 
 def unreadable(text: str, value: Column) -> Column:
     """True where ``text`` holds something and ``value``, its cast, is NULL."""
-    return F.expr(f"trim({text}) > ''") & value.isNull()
+    return value.isNull() & F.expr(f"trim({text}) > ''")
+
+
+def no_number(text: str, target: str = "float") -> Column:
+    """:func:`unreadable` of :func:`lenient_number`, which names the number twice: here the text is cast once."""
+    finite = F.abs(maybe_infinite_number(text, target)) < F.expr(f"{target}('infinity')")
+    return ~F.coalesce(finite, F.lit(False)) & F.expr(f"trim({text}) > ''")
 
 
 def strict(text: str, value: Column, column: str) -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billweave.functions import maybe_infinite_number, product_name, report_name, typed_value, unreadable
+from billweave.functions import maybe_infinite_number, no_number, product_name, report_name, typed_value, unreadable
 from billweave.operators.lookups import join_lookup, settle
 from billweave.schema import REPORT_COLUMNS, STAGING_SOURCES, TypePlan, missing_columns
 
@@ -110,8 +110,14 @@ def cast_failures(raw: DataFrame, options: StagingOptions = StagingOptions()) ->
     raw = _complete(raw, options)
     typed = _typed_columns(raw, options)
     judged = [c for c in REPORT_COLUMNS if options.types.of(c) != "string"]
+    texts = _number_texts(raw, options)
     counts = raw.agg(
-        *[F.count_if(unreadable(f"cast({c} as string)", typed[c])).alias(c) for c in judged]
+        *[
+            F.count_if(
+                no_number(c, options.types.of(c)) if c in texts else unreadable(f"cast({c} as string)", typed[c])
+            ).alias(c)
+            for c in judged
+        ]
     )
     return (
         counts.unpivot([], judged, "column_name", "failed_rows")
@@ -140,11 +146,15 @@ def _complete(raw: DataFrame, options: StagingOptions) -> DataFrame:
 
 def _with_numbers(raw: DataFrame, options: StagingOptions) -> DataFrame:
     """Number texts as numbers, perhaps infinite: each is cast once, and only then tested."""
-    have = {f.name: f.dataType.simpleString() for f in raw.schema}
-    texts = [c for c in REPORT_COLUMNS if have[c] == "string" and options.types.of(c) in ("float", "double")]
+    texts = _number_texts(raw, options)
     return raw.withColumns({c: maybe_infinite_number(c, options.types.of(c)) for c in texts}) if texts else raw
 
 
+def _number_texts(raw: DataFrame, options: StagingOptions) -> list[str]:
+    have = {f.name: f.dataType.simpleString() for f in raw.schema}
+    return [c for c in REPORT_COLUMNS if have[c] == "string" and options.types.of(c) in ("float", "double")]
+
+
 def _typed_columns(raw: DataFrame, options: StagingOptions) -> dict[str, Column]:
     have = {f.name: f.dataType.simpleString() for f in raw.schema}
     return {c: typed_value(c, have[c], options.types.of(c)) for c in REPORT_COLUMNS}

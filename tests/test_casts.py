@@ -4,7 +4,7 @@ from datetime import datetime
 
 import pytest
 
-from billweave.functions import ingest_time, lenient_int, lenient_number, lenient_time
+from billweave.functions import ingest_time, lenient_int, lenient_number, lenient_time, no_number, unreadable
 from billweave.functions.casts import ingest_value
 
 INTS = {
@@ -80,3 +80,15 @@ def test_edges_of_casts(spark):
     assert [found[t].n for t in texts[:3]] == [0, 2, 3]
     assert [found[t].at for t in texts[3:6]] == ["2024-04-02 00:00", None, "2024-04-02 10:30"]
     assert found["9" * 20].unread and not found["9" * 13].unread
+
+
+def test_unreadable_numbers_are_told_by_one_cast(spark):
+    """The same texts count as unreadable as by the cast that names its number twice."""
+    texts = ["1", "-2.5", "1e99", "-1e99", "1e400", "NaN", "Infinity", "0x1p3", "1.5f", "n/a", "", "  ", " 7 ", "1 2", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for target in ("float", "double"):
+        value = no_number("t", target)
+        got = [r[0] for r in df.select(value).collect()]
+        expected = [r[0] for r in df.select(unreadable("t", lenient_number("t", target))).collect()]
+        assert [bool(x) for x in got] == [bool(x) for x in expected]
+        assert df.select(value)._jdf.queryExecution().optimizedPlan().toString().count(f"as {target}") <= 1
