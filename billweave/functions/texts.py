@@ -15,8 +15,7 @@ def trim_slashes(text: Column) -> Column:
 
 def report_name(file: Column) -> Column:
     """First two parts of the file path, without outer slashes; NULL for a NULL path."""
-    part = lambda n: F.split_part(file, F.lit("/"), F.lit(n))
-    return trim_slashes(F.concat(part(1), F.lit("/"), part(2)))
+    return trim_slashes(F.substring_index(file, "/", 2))
 
 
 def product_name(name: Column, product: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,31 +66,18 @@ def flag_latest_version(raw: DataFrame, options: StagingOptions = StagingOptions
 def stage_report(raw: DataFrame, options: StagingOptions = StagingOptions()) -> DataFrame:
     """Typed rows of the latest file version of each billing period since the start date.
 
-    Only the version keys are cast before superseded rows are dropped: an export that keeps all
-    its versions holds mostly superseded rows.
+    Superseded rows are dropped by the raw texts of their version keys, before anything of them is cast: an export
+    that keeps all its versions holds mostly superseded rows. A semi-join adds no column, so no wide row is copied.
     """
     if PERIOD not in options.version_keys:
         # Rows before the start date are dropped first, which is right within a billing period only.
         raise ValueError(f"version_keys must name {PERIOD}")
     raw = _complete(raw, options)
-    staged = _staged_columns(raw, options)
-    early = {c: f"__{c}" for c in dict.fromkeys([PERIOD, VERSION, *options.version_keys])}
-    keyed = raw.withColumns({alias: staged[c] for c, alias in early.items()})
-    # A day has started when its midnight is reached, so no cast to a date is needed and the
-    # comparison can be pushed into the scan of a typed table.
-    recent = keyed.filter(F.col(early[PERIOD]) >= F.lit(options.start_date).cast("timestamp_ntz"))
-
-    keys = [early[k] for k in options.version_keys]
-    latest = settle(_latest(_distinct_texts(raw, options, early), keys, early[VERSION]), "latest-versions")
-    kept = join_lookup(
-        recent.filter(F.col(early[VERSION]).isNotNull()),
-        latest,
-        {**{k: k for k in keys}, early[VERSION]: "__latest"},
-        "inner",
-        null_safe=True,
-    )
+    newest = settle(_newest_texts(raw, options), "newest-texts")
+    # NULL matches NULL: a plain test would also be taken down to the scan, as a filter for rows with all these texts.
+    kept = join_lookup(raw, newest, {c: c for c in newest.table.columns}, "left_semi", null_safe=True)
     kept = _with_numbers(kept, options)
-    values = {**_staged_columns(kept, options), **{c: F.col(alias) for c, alias in early.items()}, FLAG: F.lit(True)}
+    values = {**_staged_columns(kept, options), FLAG: F.lit(True)}
     return kept.select(*[values[c].alias(c) for c in STAGING_SOURCES])
 
 
@@ -175,14 +163,27 @@ def _staged_columns(raw: DataFrame, options: StagingOptions) -> dict[str, Column
     }
 
 
-def _distinct_texts(raw: DataFrame, options: StagingOptions, early: dict[str, str]) -> DataFrame:
-    """The version keys of the report, each combination of their raw values cast once instead of once a row."""
+def _newest_texts(raw: DataFrame, options: StagingOptions) -> DataFrame:
+    """The raw values of the version keys that mean the newest version since the start date.
+
+    Each combination of raw values is stored first and cast once: a filter on what it means would else be taken
+    down to the scan and be computed for each row.
+    """
+    keys = options.version_keys
+    early = {c: f"__{c}" for c in dict.fromkeys([PERIOD, VERSION, *keys])}
     sources = {s for c in early for s in {"report": ("_file",)}.get(c, STAGING_SOURCES[c]) if s in raw.columns}
     staged = _staged_columns(raw, options)
-    found = raw.select(*sorted(sources)).distinct()
+    found = settle(raw.select(*sorted(sources)).distinct(), "version-texts").table
     # Nothing but the key columns is left to cast; the others are never asked for.
-    keyed = found.select(*[staged[c].alias(alias) for c, alias in early.items()])
-    return keyed.filter(F.col(early[PERIOD]) >= F.lit(options.start_date).cast("timestamp_ntz"))
+    keyed = found.select(*found.columns, *[staged[c].alias(alias) for c, alias in early.items()])
+    # A day has started when its midnight is reached, so no cast to a date is needed.
+    start = F.lit(options.start_date).cast("timestamp_ntz")
+    keyed = keyed.filter((F.col(early[PERIOD]) >= start) & F.col(early[VERSION]).isNotNull())
+    latest = _latest(keyed, [early[k] for k in keys], early[VERSION])
+    latest = latest.withColumnsRenamed({early[k]: f"__latest_{k}" for k in keys})
+    same = [F.col(early[k]).eqNullSafe(F.col(f"__latest_{k}")) for k in keys]
+    on = reduce(lambda a, b: a & b, same, F.col(early[VERSION]) == F.col("__latest"))
+    return keyed.join(latest, on, "left_semi").select(*found.columns)
 
 
 def _latest(rows: DataFrame, keys: list[str] | tuple[str, ...], version: str) -> DataFrame:

@@ -49,6 +49,19 @@ def test_only_the_latest_version_of_each_period_stays(report):
     assert [r._line for r in stage_report(raw, StagingOptions(start_date="2024-04-01")).collect()] == [2]
 
 
+def test_superseded_rows_go_by_their_raw_texts(report):
+    lines = [
+        {**APRIL, "_modified": m, "_line": n}
+        for n, m in enumerate(["2024-04-20 00:00:00", "2024-04-20T00:00:00Z", "2024-04-03 00:00:00", "soon", ""], 1)
+    ]
+    staged = stage_report(report([*lines, {**APRIL, "bill_billing_period_start_date": "April", "_modified": "2024-05-01 00:00:00"}]))
+    plan = staged._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "Join Inner" not in plan  # no column is added, so no wide row is copied
+    below = plan[plan.index("LeftSemi") :]
+    assert "try_cast" not in below.lower() and "cast(" not in below.lower()
+    assert sorted(r._line for r in staged.collect()) == [1, 2]
+
+
 def test_flag_equals_the_window(report):
     rows = [
         {"bill_billing_period_start_date": p, "_modified": m, "_line": n}
