@@ -117,3 +117,8 @@ def test_the_only_wide_shuffle_is_after_partial_aggregation(report):
     plan = daily_overview(stage_report(report([MONTH])))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "BatchEvalPython" not in plan and "Window" not in plan
     assert plan.count("BroadcastHashJoin") == 3
+
+
+def test_names_are_filled_in_groups_not_in_rows(report):
+    plan = daily_overview(stage_report(report([MONTH])))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan[plan.rindex("LeftOuter") :]
