@@ -1,9 +1,9 @@
-"""Landing of a raw report: its text is parsed once, and superseded file versions are dropped by name.
+"""Landing of a raw report: its rows are cast once, and superseded file versions are left out.
 
-All dated rows are written typed, partitioned by billing period and file version. Which version of a period is the
-newest then follows from the partitions' names; no row is read for it, and no text is parsed again for any of the
-tables made from it. A report that keeps all its versions pays with casts of superseded rows, where
-:func:`billweave.operators.staging.stage_report` pays with a second scan of the text.
+Rows are written typed, partitioned by billing period and file version; no text is parsed again for any of the tables
+made from them. Superseded rows are told by the raw texts of their version keys, in a narrow scan, and are neither cast
+nor shuffled nor written. Where they are to be kept, all dated rows are written in one scan, and which version of a
+period is the newest follows from the partitions' names.
 """
 
 from __future__ import annotations
@@ -14,9 +14,8 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billweave.functions import quote_text
 from billweave.operators.lookups import join_lookup, settle
-from billweave.operators.staging import FLAG, PERIOD, VERSION, StagingOptions, stage_versions
+from billweave.operators.staging import FLAG, PERIOD, VERSION, StagingOptions, stage_report, stage_versions
 from billweave.schema import STAGING_COLUMNS
 from billweave.sinks.catalogs import CatalogTarget
 from billweave.sinks.tables import create_if_absent, drop_table
@@ -34,32 +33,27 @@ def land_report(
 ) -> DataFrame:
     """Writes a report as a typed table, replacing an earlier one; returns the staging rows of its newest versions.
 
-    The partitions of superseded versions are taken off the table unless ``keep_superseded`` is set; of a table
-    without a ``location`` of its own, their files go as well. With other ``version_keys`` than the billing period, a
-    period has several newest versions, which names don't tell: they are found by a scan of the keys, and kept rows are
-    told by a join. Only tables of the session catalog can be landed in.
+    Rows of superseded versions are not written unless ``keep_superseded`` is set. With other ``version_keys`` than the
+    billing period, a period has several newest versions, which names don't tell: all are written, they are found by a
+    scan of the keys, and kept rows are told by a join. Only tables of the session catalog can be landed in.
     """
     if not target.is_session:
         raise ValueError("a report is landed in the session catalog")
     spark = raw.sparkSession
-    rows = stage_versions(raw, options).withColumns(
+    by_name = tuple(options.version_keys) == (PERIOD,)
+    newest_only = by_name and not keep_superseded
+    rows = (stage_report(raw, options).drop(FLAG) if newest_only else stage_versions(raw, options)).withColumns(
         {PERIOD_DAY: F.col(PERIOD).cast("date"), FILE_VERSION: F.col(VERSION).cast("string")}
     )
     drop_table(spark, target.table_name(table))
     name = create_if_absent(spark, target, table, rows.schema, (PERIOD_DAY, FILE_VERSION), location)
     rows.hint("rebalance", PERIOD_DAY, FILE_VERSION).select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
     landed = spark.table(name)
-    if tuple(options.version_keys) == (PERIOD,):
-        newest, superseded = versions_by_name(spark, name)
-        if superseded and not keep_superseded:
-            for period, version in superseded:
-                spec = f"{PERIOD_DAY} = DATE{quote_text(period)}, {FILE_VERSION} = {quote_text(version)}"
-                spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
-            landed = spark.table(name)
-        else:
-            tests = [(F.col(PERIOD_DAY) == F.lit(p).cast("date")) & (F.col(FILE_VERSION) == v) for p, v in newest]
-            landed = landed.filter(reduce(lambda a, b: a | b, tests, F.lit(False)))
-    else:
+    if by_name and keep_superseded:
+        newest, _ = versions_by_name(spark, name)
+        tests = [(F.col(PERIOD_DAY) == F.lit(p).cast("date")) & (F.col(FILE_VERSION) == v) for p, v in newest]
+        landed = landed.filter(reduce(lambda a, b: a | b, tests, F.lit(False)))
+    elif not newest_only:
         keys = options.version_keys
         latest = settle(landed.groupBy(*keys).agg(F.max(VERSION).alias("__latest")), "latest-versions")
         landed = join_lookup(landed, latest, {**{k: k for k in keys}, VERSION: "__latest"}, "inner", null_safe=True)
