@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -327,6 +328,28 @@ def test_fingerprints_against_slow_parsing():
         assert got == want
 
 
+def test_fingerprints_texts_are_moved_compressed(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["alpha", "beta", "gamma", "delta"], k=300)) for _ in range(40)] + ["", "é"]
+    rows = [(0, False, i // 2, t, i % 7 == 6) for i, t in enumerate(texts)]
+    rows += [(0, True, 99, "after", False), (1, False, None, "no id", True)]
+    columns = "block", "copy", "doc_id", "text", "plain"
+    types = pa.int32(), pa.bool_(), pa.int64(), pa.string(), pa.bool_()
+    rows = [(*r[:4], False if r[2] is not None else r[4]) for r in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], columns)
+    moved = list(fingerprints._packed(iter([batch])))
+    assert sum(b.nbytes for b in moved) < sum(len(t) for t in texts) / 2
+    got = list(fingerprints._unpacked(iter(moved)))
+    assert got == sorted((r[:4] for r in rows), key=lambda r: (*r[:2], r[2] or 0, r[3]))
+
+    # However few the shuffle partitions, a range has a bounded size; the rows are those of one range.
+    docs = spark.createDataFrame([(i // 3, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = sorted(fingerprints.with_edits(docs).collect(), key=str)
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", 5000)
+    in_ranges = fingerprints.with_edits(docs)
+    assert in_ranges.rdd.getNumPartitions() > 8 and sorted(in_ranges.collect(), key=str) == want
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     rows, labels_ = [], []
