@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from billweave.dictionary import described
 from billweave.functions import quote_text
 from billweave.schema import KEY_COLUMN
+from billweave.session import RELEASE_SHUFFLES, settings
 from billweave.sinks.catalogs import CatalogTarget
 
 PERIOD = "billing_period_start_date"
@@ -41,7 +42,8 @@ def replace_table(
     if target.is_session:
         writer = df.write.mode("overwrite").format("parquet")
         writer = writer.option("path", location) if location else writer
-        (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(name)
+        with settings(spark, {RELEASE_SHUFFLES: "true"}):
+            (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(name)
     else:
         writer = df.writeTo(name).using("iceberg")
         (writer.partitionedBy(F.col(partition_by)) if partition_by else writer).createOrReplace()
@@ -76,20 +78,17 @@ def append_batch(df: DataFrame, name: str) -> int:
     spark = df.sparkSession
     counted = Observation()
     rows = df.select(*spark.table(name).columns).observe(counted, F.count(F.lit(1)).alias("rows"))
-    rows.write.insertInto(name)
+    with settings(spark, {RELEASE_SHUFFLES: "true"}):
+        rows.write.insertInto(name)
     return counted.get["rows"]
 
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Replaces the partitions that ``df`` has rows for, and leaves the others."""
-    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
+    spark = df.sparkSession
     # For tables of the session catalog the mode is a session setting, not a writer option.
-    spark.conf.set(mode, "dynamic")
-    try:
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic", RELEASE_SHUFFLES: "true"}):
         df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
